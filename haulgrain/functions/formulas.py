@@ -11,9 +11,10 @@ NULL also under ANSI mode.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of the on-time event fact.
@@ -58,6 +59,11 @@ FILL_ITEM = {
     "load_gbu_id": "gbu_code",
 }
 
+# Vehicles.
+VEHICLE_VOLUME = (
+    "vehicle_inner_length_val * vehicle_inner_width_val * vehicle_inner_height_val"
+)
+
 # Items with the truck data of their order.
 FILL_PREPARED = {
     "filled_gross_weight_plan_qty": "COALESCE(oblb_gross_weight_plan_qty, total_gross_weight_qty)",
@@ -110,8 +116,10 @@ NET_DENSITY_PER_LOAD = "try_divide(avg_net_weight_order_qty, avg_net_vol_order_q
 # Items with the averages of their load: capacity gaps and their value.
 FILL_IMPACT = {
     "cases_impact_amt": "(1D - net_vol_fill_rate) * total_load_cost_amt",
+    "for_max_net_vol_cal": "try_divide(max_net_weight_order_qty, net_density_order_qty)",
     "max_net_vol_qty": "greatest(plan_net_vol_qty, shipped_net_vol_qty)",
     "combined_load_max_weight_qty": "CAST(max_weight_qty AS DOUBLE)",
+    "combined_load_max_vol_qty_old": "CAST(max_vol_trans_mgmt_sys_qty AS DOUBLE)",
     "combined_load_max_vol_qty": "{load_max_volume}",
     "calc_std_weight_qty": "net_density_order_qty * combined_load_max_vol_qty",
     "hopade_amt": "combined_load_max_weight_qty - shipped_gross_weight_qty",
@@ -132,6 +140,8 @@ FILL_FINAL = {
     "load_oblb_gross_weight_plan_qty": "oblb_gross_weight_plan_qty",
     "load_oblb_gross_vol_plan_qty": "oblb_gross_vol_plan_qty",
     "tac_freight_type_code": "COALESCE(tac_freight_type_code, vfr_freight_type_code)",
+    "recvng_live_drop_code": "COALESCE(recvng_live_drop_code, 'Live')",
+    "pre_load_type_code": "COALESCE(pre_load_type_code, 'None')",
 }
 
 # Plan and shipped quantities of an item as the load rollup reads them.
@@ -165,11 +175,17 @@ def apply_formulas(
     only: Iterable[str] | None = None,
     **parameters: float,
 ) -> DataFrame:
-    """Add the columns of a formula group in order; later ones may use earlier ones."""
+    """Add the columns of a formula group in order; later ones may use earlier ones.
+
+    Formulas that do not mention one another are added in one step.
+    """
     overrides = overrides or {}
+    step: dict[str, Column] = {}
     for name in only or defaults:
         text = overrides.get(name, defaults[name])
         if parameters:
             text = text.format(**{k: f"{v!r}D" for k, v in parameters.items()})
-        df = df.withColumn(name, F.expr(text))
-    return df
+        if step.keys() & set(re.findall(r"\w+", text)):
+            df, step = df.withColumns(step), {}
+        step[name] = F.expr(text)
+    return df.withColumns(step) if step else df

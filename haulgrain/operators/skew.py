@@ -35,9 +35,13 @@ def join_totals(
     that spread it (an identifier of the rows); left out, all columns do.  No side is hinted: Spark
     broadcasts the totals by itself when their size, known or measured at run time, allows it.
     """
+    extra = [c for c in totals.columns if c not in keys]
+    twice = sorted({c.lower() for c in facts.columns} & {c.lower() for c in extra})
+    if twice:
+        raise ValueError(f"columns on both sides of the join: {twice}")
     right = totals.select(
         *(F.col(k).alias(f"_r_{k}") for k in keys),
-        *(c for c in totals.columns if c not in keys),
+        *extra,
     )
     left = facts
     if salts > 1:

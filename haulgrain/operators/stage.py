@@ -46,14 +46,17 @@ def checkpointed(df: DataFrame, name: str) -> DataFrame:
     return df.checkpoint()
 
 
-def written(spark: SparkSession) -> Stage:
+def written(spark: SparkSession, *only: str) -> Stage:
     """Stage that writes each frame as Parquet below the shared folder and reads it back.
 
     Later steps then prune columns and see real sizes, so small stages are broadcast safely.
+    Given names, it writes just those frames and leaves the others in the plan.
     """
     base = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
 
     def stage(df: DataFrame, name: str) -> DataFrame:
+        if only and name not in only:
+            return df
         path = f"{base}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return spark.read.parquet(path)

@@ -97,12 +97,19 @@ def order_loads(order_linkage: DataFrame) -> DataFrame:
     )
 
 
-def trucks(order_linkage: DataFrame, truck_report: DataFrame, vehicles: DataFrame) -> DataFrame:
+def trucks(
+    order_linkage: DataFrame,
+    truck_report: DataFrame,
+    vehicles: DataFrame,
+    formulas: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Order to truck to vehicle, per load and order."""
+    volume = (formulas or {}).get("vehicle_true_max_vol_qty", fx.VEHICLE_VOLUME)
     fleet = vehicles.withColumnsRenamed({"vehicle_type_code": "truck_vehicle_type_code"}).withColumns(
         {
             "vehicle_type2_code": F.col("truck_vehicle_type_code"),
             "vehicle_true_max_weight_qty": F.col("total_weight_qty"),
+            "vehicle_true_max_vol_qty": F.expr(volume),
         }
     )
     released = truck_releases(truck_report)
@@ -293,9 +300,8 @@ def build(
     ``unit_salts`` spreads the few, large business units when their totals are attached.
     """
     items = normalize_items(delivery_items, formulas)
-    chain = trucks(order_linkage, truck_report, vehicles)
-    with_trucks = items.join(_one_truck(chain), ["load_id", "order_num"], "left")
-    with_trucks = apply_formulas(with_trucks, fx.FILL_PREPARED, formulas)
+    chain = _one_truck(trucks(order_linkage, truck_report, vehicles, formulas))
+    with_trucks = _with_trucks(items, chain, formulas)
 
     loads = load_statistics(with_trucks)
     for frame in (
@@ -310,9 +316,10 @@ def build(
     ):
         loads = loads.join(frame, "load_id", "left")
 
-    joined = join_totals(with_trucks.distinct(), loads, ["load_id"], "inner")
+    # Duplicates only matter here: every aggregate above is indifferent to them.
+    unique = _with_trucks(items.dropna(subset=ITEM_KEYS).distinct(), chain, formulas)
+    joined = join_totals(unique, loads, ["load_id"], "inner")
     joined = joined.filter("trans_stage_num = min_trans_stage_num")
-    joined = joined.dropna(subset=ITEM_KEYS)
     awarded = awarded_volume(load_costs)
     joined = join_totals(joined, awarded, ["load_id", "carr_id", "tms_service_code"])
     hierarchy = ship_to_hierarchy(
@@ -350,6 +357,13 @@ def _one_truck(chain: DataFrame) -> DataFrame:
     return latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
 
 
+def _with_trucks(
+    items: DataFrame, chain: DataFrame, formulas: Mapping[str, str] | None
+) -> DataFrame:
+    rows = items.join(chain, ["load_id", "order_num"], "left")
+    return apply_formulas(rows, fx.FILL_PREPARED, formulas)
+
+
 def _joined_formulas(joined: DataFrame, formulas: Mapping[str, str] | None) -> DataFrame:
     counts = [c for c in joined.columns if c.endswith(("_subsector_step_cnt", "_subsector_cnt"))]
     known: Column = F.lit(0)

@@ -71,8 +71,9 @@ def shipments(
     """Loads of the weeks in ``tender_lanes`` with their lane rows and final stop.
 
     Loads and lanes meet on the week and on ``match_on``.  ``match_on=()`` meets on the week only,
-    which repeats every load for each lane of its week.  Loads are deduplicated after the join has
-    cut them down to the weeks in question.
+    which repeats every load for each lane of its week.  Loads are first cut down to the weeks and
+    lanes in question, then deduplicated, then joined.  Columns both sides have beyond the join
+    keys come out twice, the lane's with the prefix ``lane_``.
     """
     loads = load_costs.withColumn("load_id", normalize_key("load_id", mode="one"))
     loads = loads.drop(*_not_in_shipments(loads)).withColumn(
@@ -86,14 +87,15 @@ def shipments(
     )
     keys = ["concat_week_year", *match_on]
     shared = [c for c in lane_rows.columns if c in loads.columns and c not in keys]
+    lane_rows = lane_rows.withColumnsRenamed({c: f"lane_{c}" for c in shared})
+    in_scope = loads.join(lane_rows.select(*keys).distinct(), keys, "left_semi").distinct()
     stops = (
         locations.drop("origin_zone_ship_from_code", "loc_id", "loc_name")
         .withColumnRenamed("postal_code", "final_stop_postal_code")
         .distinct()
     )
     return (
-        loads.join(lane_rows.drop(*shared), keys, "inner")
-        .distinct()
+        in_scope.join(lane_rows, keys, "inner")
         .join(stops, "final_stop_postal_code", "left")
         .withColumn("last_update_utc_tmstp", F.current_timestamp())
     )
