@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import ColumnOrName, as_column
+from .skew import join_totals
 
 
 def latest_n_periods(df: DataFrame, period: ColumnOrName, n: int) -> DataFrame:
@@ -70,7 +71,7 @@ def keep_min_stage(df: DataFrame, key: str, stage: str) -> DataFrame:
     a hot key in one task.  Rows with a NULL key or stage are dropped.
     """
     minima = df.groupBy(key).agg(F.min(stage).alias(stage))
-    return df.join(minima, [key, stage], "left_semi")
+    return join_totals(df, minima, [key, stage], "left_semi")
 
 
 def final_stage_attr(
@@ -89,12 +90,8 @@ def drop_linked_children(
 
     Child keys are deduplicated before they are shuffled.  A NULL key has no match and stays.
     """
-    children = (
-        child_keys.select(F.col(child_key).alias("_child"))
-        .filter(F.col("_child").isNotNull())
-        .distinct()
-    )
-    return df.join(children, df[key] == children["_child"], "left_anti")
+    children = child_keys.select(F.col(child_key).alias(key)).dropna().distinct()
+    return join_totals(df, children, [key], "left_anti")
 
 
 def first_event(df: DataFrame, keys: Sequence[str], ts: str, attrs: Sequence[str]) -> DataFrame:

@@ -84,8 +84,7 @@ def fallback_match(
     exact = _attach(facts, hit, exact_keys, "left" if keep_duplicates else "inner")
     first = exact.withColumn("match_tier", F.when(F.col("_hit") == 1, 1).otherwise(0))
 
-    known = ref.select(*exact_keys).distinct()
-    rest = facts.join(known, list(exact_keys), "left_anti")
+    rest = join_totals(facts, ref.select(*exact_keys).distinct(), exact_keys, "left_anti")
     if regroup is not None:
         rest = regroup(rest)
     second = _attach(rest, hit, coarse_keys, "left")

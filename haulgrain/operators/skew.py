@@ -1,4 +1,4 @@
-"""Joins of facts with per-group rows when single groups can be very large."""
+"""Joins of facts with per-key rows when single keys can hold a large share of the facts."""
 
 from __future__ import annotations
 
@@ -30,28 +30,41 @@ def join_totals(
 ) -> DataFrame:
     """Join facts with a frame that has at most one row per key.
 
-    ``salts > 1`` repeats the totals once per salt and joins on (keys, salt), so that a group
-    holding a large share of the facts is worked on by many tasks.  ``salt_by`` names the columns
-    that spread it (an identifier of the rows); left out, all columns do.  No side is hinted: Spark
-    broadcasts the totals by itself when their size, known or measured at run time, allows it.
+    Such a frame usually comes straight from an aggregate on the same keys.  Adaptive execution
+    does not split a hot key of a join that sits directly on that aggregate, so the join also
+    compares a salt: both sides are then exchanged for the join, and hot partitions are split.
+
+    ``salts > 1`` moreover repeats the totals once per salt, which divides every key over that
+    many partitions from the start; it suits few, large groups.  ``salt_by`` names the columns
+    that spread them (an identifier of the rows); left out, all columns do.
+
+    No side is hinted: Spark broadcasts the totals by itself when their size, known or measured
+    at run time, allows it.  ``how`` is ``left``, ``inner``, ``left_semi`` or ``left_anti``.
     """
     extra = [c for c in totals.columns if c not in keys]
+    if how in ("left_semi", "left_anti"):
+        extra = []
     twice = sorted({c.lower() for c in facts.columns} & {c.lower() for c in extra})
     if twice:
         raise ValueError(f"columns on both sides of the join: {twice}")
-    right = totals.select(
-        *(F.col(k).alias(f"_r_{k}") for k in keys),
-        *extra,
-    )
-    left = facts
+    right_keys = [f"_r_{k}" for k in keys]
+    right = totals.select(*(F.col(k).alias(r) for k, r in zip(keys, right_keys)), *extra)
     if salts > 1:
-        left = left.withColumn("_salt", salt_column(salt_by or facts.columns, salts))
-        right = right.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left_salt = salt_column(salt_by or facts.columns, salts)
+        right_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    else:
+        left_salt, right_salt = _single_salt(keys), _single_salt(right_keys)
+    left = facts.withColumn("_salt", left_salt)
+    right = right.withColumn("_r_salt", right_salt)
     matches = [
-        F.col(k).eqNullSafe(F.col(f"_r_{k}")) if null_safe else F.col(k) == F.col(f"_r_{k}")
-        for k in keys
+        F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r)
+        for k, r in zip(keys, right_keys)
     ]
-    if salts > 1:
-        matches.append(F.col("_salt") == F.col("_r_salt"))
+    matches.append(F.col("_salt") == F.col("_r_salt"))
     joined = left.join(right, reduce(lambda a, b: a & b, matches), how)
-    return joined.drop(*(f"_r_{k}" for k in keys), "_salt", "_r_salt")
+    return joined.drop(*right_keys, "_salt", "_r_salt")
+
+
+def _single_salt(keys: Sequence[str]) -> Column:
+    """Zero for every row, computed from the keys so that the planner keeps it as a join key."""
+    return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(1)).cast("int")

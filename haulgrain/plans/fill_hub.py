@@ -360,7 +360,7 @@ def _one_truck(chain: DataFrame) -> DataFrame:
 def _with_trucks(
     items: DataFrame, chain: DataFrame, formulas: Mapping[str, str] | None
 ) -> DataFrame:
-    rows = items.join(chain, ["load_id", "order_num"], "left")
+    rows = join_totals(items, chain, ["load_id", "order_num"])
     return apply_formulas(rows, fx.FILL_PREPARED, formulas)
 
 

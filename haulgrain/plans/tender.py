@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import normalize_key
 from ..functions.periods import year_week_key
 from ..operators.dedupe import latest_n_periods
+from ..operators.skew import join_totals
 
 WEEKS_KEPT = 13
 
@@ -88,7 +89,7 @@ def shipments(
     keys = ["concat_week_year", *match_on]
     shared = [c for c in lane_rows.columns if c in loads.columns and c not in keys]
     lane_rows = lane_rows.withColumnsRenamed({c: f"lane_{c}" for c in shared})
-    in_scope = loads.join(lane_rows.select(*keys).distinct(), keys, "left_semi").distinct()
+    in_scope = join_totals(loads, lane_rows.select(*keys).distinct(), keys, "left_semi").distinct()
     stops = (
         locations.drop("origin_zone_ship_from_code", "loc_id", "loc_name")
         .withColumnRenamed("postal_code", "final_stop_postal_code")
