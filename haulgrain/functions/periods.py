@@ -41,12 +41,32 @@ def year_week_key(
     raise ValueError(f"style must be 'yyyyww' or 'ww/yyyy', not {style!r}")
 
 
+def _from_iso(text: Column, year: int, month: int, day: int, time: Column) -> Column:
+    """Timestamp from a text whose year, month and day start at the given positions."""
+    return F.concat(
+        F.substring(text, year, 4),
+        F.lit("-"),
+        F.substring(text, month, 2),
+        F.lit("-"),
+        F.substring(text, day, 2),
+        F.lit(" "),
+        time,
+    ).try_cast("timestamp")
+
+
 def parse_date_time(
     date_c: ColumnOrName, time_c: ColumnOrName, fmt: str = DATE_TIME_FORMAT
 ) -> Column:
-    """Timestamp from a date text and a time text; NULL if either is NULL or unreadable."""
-    text = F.concat(as_column(date_c), F.lit(" "), as_column(time_c))
-    return F.try_to_timestamp(text, F.lit(fmt))
+    """Timestamp from a date text and a time text; NULL if either is NULL or unreadable.
+
+    The default format is reordered and cast, which costs a bad text nothing; a pattern parser
+    raises and catches an exception for each.
+    """
+    date, time = as_column(date_c), as_column(time_c)
+    if fmt != DATE_TIME_FORMAT:
+        return F.try_to_timestamp(F.concat(date, F.lit(" "), time), F.lit(fmt))
+    shaped = date.rlike(r"^\d\d/\d\d/\d{4}$") & time.rlike(r"^\d\d:\d\d:\d\d$")
+    return F.when(shaped, _from_iso(date, 7, 4, 1, time))
 
 
 def parse_dmy(c: ColumnOrName) -> Column:
@@ -59,10 +79,14 @@ def parse_dmy(c: ColumnOrName) -> Column:
         F.lit("-"),
         F.substring(text, 1, 2),
     )
-    return F.try_to_timestamp(ymd, F.lit("yyyy-MM-dd")).cast("date")
+    return ymd.try_cast("date")
 
 
 def parse_event_stamp(c: ColumnOrName, sentinel: str = EVENT_STAMP_SENTINEL) -> Column:
     """Timestamp from a 14-digit stamp; the sentinel and bad text give NULL."""
     text = as_column(c)
-    return F.when(text != sentinel, F.try_to_timestamp(text, F.lit(EVENT_STAMP_FORMAT)))
+    time = F.concat(
+        F.substring(text, 9, 2), F.lit(":"), F.substring(text, 11, 2), F.lit(":"), F.substring(text, 13, 2)
+    )
+    shaped = (text != sentinel) & text.rlike(r"^\d{14}$")
+    return F.when(shaped, _from_iso(text, 1, 5, 7, time))

@@ -88,6 +88,15 @@ def test_bad_date_texts_are_null(spark):
         None,
         None,
     ]
+    other = parse_date_time("x", F.lit("08:00"), "dd/MM/yyyy HH:mm")
+    assert values(spark, ["31/12/2020", "1/1/2020"], F.hour(other)) == [8, None]
+    strict = parse_date_time("x", F.lit("24:00:00"))
+    assert values(spark, ["31/12/2020", "31/02/2020"], strict) == [None, None]
+    assert values(spark, ["1/2/2020", "29/02/2020", "30/02/2020"], at_eight) == [
+        None,
+        dt.datetime(2020, 2, 29, 8),
+        None,
+    ]
     assert values(spark, ["31.12.2020", "31/13/2020", None], parse_dmy("x")) == [
         dt.date(2020, 12, 31),
         None,
