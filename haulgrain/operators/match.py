@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,19 +80,23 @@ def fallback_match(
     unmatched facts are also kept in their ungrouped form with tier 0, which counts them twice.
 
     """
-    hit = ref.withColumn("_hit", F.lit(1))
     facts = stage(facts, "fallback_facts")
-    exact = _attach(facts, hit, exact_keys, "left" if keep_duplicates else "inner")
-    first = exact.withColumn("match_tier", F.when(F.col("_hit") == 1, 1).otherwise(0))
-
-    rest = join_totals(facts, ref.select(*exact_keys).distinct(), exact_keys, "left_anti")
-    if regroup is not None:
-        rest = regroup(rest)
-    second = _attach(rest, hit, coarse_keys, "left")
-    second = second.withColumn("match_tier", F.when(F.col("_hit") == 1, 2).otherwise(0))
-    return first.drop("_hit").unionByName(second.drop("_hit"), allowMissingColumns=True)
+    exact = _attach(facts, ref, exact_keys).withColumn("match_tier", F.lit(1))
+    rest = _unmatched(facts, ref, exact_keys)
+    regrouped = stage(regroup(rest) if regroup is not None else rest, "fallback_rest")
+    coarse = _attach(regrouped, ref, coarse_keys).withColumn("match_tier", F.lit(2))
+    nowhere = _unmatched(regrouped, ref, coarse_keys).withColumn("match_tier", F.lit(0))
+    parts = [exact, coarse, nowhere]
+    if keep_duplicates:
+        parts.append(rest.withColumn("match_tier", F.lit(0)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _attach(facts: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join, so that a hot key can be split on either side; shared columns of the facts stay."""
+    shared = [c for c in ref.columns if c in facts.columns and c not in keys]
+    return facts.join(ref.drop(*shared), list(keys), "inner")
 
 
-def _attach(facts: DataFrame, ref: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    shared = [c for c in ref.columns if c in facts.columns and c not in keys]
-    return facts.join(ref.drop(*shared), list(keys), how)
+def _unmatched(facts: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return join_totals(facts, ref.select(*keys).distinct(), keys, "left_anti")

@@ -2,9 +2,9 @@
 
 Everything that belongs to a load (shipped and planned totals, statistics, costs, cost steps,
 priority) is aggregated from narrow projections and gathered into one frame with a row per load;
-the items are then joined with that frame once.  Two frames are read by several later steps and
-are handed to ``stage``: ``prepared`` (items with all load facts) and ``valued`` (items with their
-impacts).
+the items are then joined with that frame once.  Frames read by several later steps are handed to
+``stage``: ``trucks`` (one truck per load and order), ``loads`` (all load facts), ``prepared``
+(items with all load facts) and ``valued`` (items with their impacts).
 """
 
 from __future__ import annotations
@@ -301,6 +301,7 @@ def build(
     """
     items = normalize_items(delivery_items, formulas)
     chain = _one_truck(trucks(order_linkage, truck_report, vehicles, formulas))
+    chain = stage(chain, "trucks")
     with_trucks = _with_trucks(items, chain, formulas)
 
     loads = load_statistics(with_trucks)
@@ -316,6 +317,8 @@ def build(
     ):
         loads = loads.join(frame, "load_id", "left")
 
+    loads = stage(loads, "loads")
+
     # Duplicates only matter here: every aggregate above is indifferent to them.
     unique = _with_trucks(items.dropna(subset=ITEM_KEYS).distinct(), chain, formulas)
     joined = join_totals(unique, loads, ["load_id"], "inner")

@@ -277,7 +277,7 @@ items AS (
     origin || '-' || dest AS lane
   FROM lanes),
 totals AS (
-  SELECT week, lane, sum(l_quantity) AS lane_quantity FROM items WHERE l_linenumber < 4 GROUP BY 1, 2)
+  SELECT week, lane, sum(l_quantity) AS lane_quantity FROM items GROUP BY 1, 2)
 SELECT i.*, lane_quantity FROM items i JOIN totals USING (week, lane)
 """
 
@@ -371,6 +371,10 @@ SELECT o_orderstatus, o_orderkey::BIGINT AS load_id,
 FROM orders
 """
 
+ORACLE["overwrite_read_back"] = """
+SELECT o_orderstatus, o_orderkey::VARCHAR AS load_id, o_custkey::INTEGER AS o_custkey FROM orders
+"""
+
 # --- parts of the fill plan -----------------------------------------------------------------
 
 _TRUCKS = """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,12 @@ from ..functions import keys as k
 from ..functions import periods as p
 from ..functions import rules as r
 from ..operators import dedupe, match, reshape, rollup
-from ..operators.stage import written
+from ..operators.skew import join_totals
+from ..operators.stage import shared_folder, written
 from ..plans import fill_hub, fill_load, loading, on_time, scorecard, tender
 from ..session import tune
-from ..sources.sink import conform
+from ..sources.catalog import SourceCatalog, read_source
+from ..sources.sink import conform, overwrite_table
 from .frames import frame, frames, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,10 +396,8 @@ def period_join(spark, sf):
         p.year_week_key("l_shipdate").alias("week"),
         k.composite_key("origin", "dest").alias("lane"),
     )
-    lanes = items.filter("l_linenumber < 4").groupBy("week", "lane").agg(
-        F.sum("l_quantity").alias("lane_quantity")
-    )
-    return items.join(lanes, ["week", "lane"], "inner")
+    lanes = items.groupBy("week", "lane").agg(F.sum("l_quantity").alias("lane_quantity"))
+    return join_totals(items, lanes, ["week", "lane"], "inner")
 
 
 def _fallback(spark, sf, keep_duplicates):
@@ -499,6 +500,17 @@ def conform_output(spark, sf):
     return conform(text, schema)
 
 
+@query
+def overwrite_read_back(spark, sf):
+    """Orders overwritten twice in the shared folder and read back through the catalog."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders")
+    overwrite_table(conform(orders, "o_custkey BIGINT"), path)
+    overwrite_table(conform(orders, "o_orderstatus STRING, o_orderkey STRING, o_custkey INT"), path)
+    catalog = SourceCatalog({"on_time_events": path}, {"on_time_events": {"o_orderkey": "load_id"}})
+    return read_source(spark, "on_time_events", catalog, refresh=True)
+
+
 # --- parts of the fill plan -----------------------------------------------------------------
 
 
@@ -773,8 +785,8 @@ def _rounded(*names: str) -> list[Column]:
 
 
 def build_fill_hub(spark, sf) -> DataFrame:
-    """Fill result of the test tables; the frame most steps read is written to the shared folder."""
-    return fill_hub.build(*frames(spark, sf, *HUB_SOURCES), stage=written(spark, "prepared"))
+    """Fill result of the test tables; frames several steps read are written to the shared folder."""
+    return fill_hub.build(*frames(spark, sf, *HUB_SOURCES), stage=written(spark, "trucks", "prepared"))
 
 
 @query
