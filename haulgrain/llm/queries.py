@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulgrain.llm import minhash, quality, wumanber
-from haulgrain.llm.shared import table
+from haulgrain.llm import minhash, orc_ids, pii, quality, wumanber
+from haulgrain.llm.shared import new_folder, table
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +14,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("hits", "items")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,12 @@ def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op10_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-ids")
+    orc_ids.write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return orc_ids.checksums(orc_ids.read_ids(spark, folder))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -103,8 +114,10 @@ FROM judged
 
 QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_personal_data": op6_personal_data,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_cascade": op9_quality_cascade,
+    "op10_orc_token_ids": op10_orc_token_ids,
 }
 
 ORACLE = {
