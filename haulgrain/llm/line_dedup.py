@@ -150,7 +150,7 @@ def line_dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, rows = [], []
-            for text, starts in zip(map(pa.Scalar.as_py, batch.column("text")), batch.column("starts").to_pylist(), strict=True):
+            for text, starts in zip((t.as_py() for t in batch.column("text")), batch.column("starts").to_pylist(), strict=True):
                 cleaned, n, runs = without_runs(text or "", starts or [], run)
                 texts.append(None if text is None else cleaned)
                 rows.append((n, sum(b - a for a, b in runs), ",".join(f"{a}-{b}" for a, b in runs)))

@@ -7,11 +7,13 @@ exactly as often as their sets are alike.  ``BANDS`` bands of ``BINS / BANDS`` b
 keys; at a similarity of 0.75 all 32 bands miss with a probability below 1e-5.
 
 Documents with the same shingle set are one node from the start.  In a bucket, candidate edges form
-stars: the smallest node is compared with all others.  A bucket whose members are not all connected
-afterwards stays open and gets further centres, twice as many each round, each compared with the
-members of other components, until nothing in the bucket is uncompared.  So the pairs of a bucket of
-copies are as many as its members, and no pair that a bucket holds and that could connect two
-components is left out.  Links are confirmed on the full sets of both texts.
+stars: the smallest node is compared with all others and then leaves the bucket.  Where the rest
+still belongs to several components, a further star is drawn from a member that each bucket picks in
+an order of its own, compared with the members of other components only.  This goes on until no
+bucket holds several components, or until a round, the third at the earliest, confirms no new link.
+A round makes at most one pair per member of a bucket, so pairs stay linear in the documents even in
+a large group of near copies; a bucket of up to four is compared in full.  Links are confirmed on
+the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulgrain.llm import kernel as K
@@ -30,6 +32,8 @@ BINS = 128
 BANDS = 32
 SHINGLE = 5
 SIMILARITY_PCT = 75
+#: rounds of stars that are drawn even if one of them confirms nothing
+LEAST_ROUNDS = 3
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BIN_SALT = np.uint64(0x2545F4914F6CDD1D)
@@ -122,14 +126,13 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, SIGNED)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, text: DataFrame) -> DataFrame:
     """Those pairs (a, a_key, b, b_key) whose full sets reach the similarity.
 
     The member's text is joined first and the centre's last, so a centre with many members keeps
     one copy of its own text.  A text is used only if its set has the expected key, which also
     settles repeated document ids.
     """
-    text = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key, last = None, None
@@ -158,72 +161,58 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, "u bigint, v bigint").distinct()
 
 
-def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Confirmed links (u, v) that connect all near-duplicate nodes (node, n_shingles, key, bands)."""
-    buckets = nodes.where("node is not null").select(F.explode("bands").alias("bucket"), "node", "n_shingles", "key")
-    centres = (
-        buckets.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min(F.struct("node", "n_shingles", "key")).alias("centre"))
-        .where("size > 1")
-        .drop("size")
+def stars(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a, a_key, b, b_key) of each bucket's centre with its members of other components."""
+    centre, other = F.col("centre"), F.struct("node", "key", "n_shingles", "component")
+    swap = F.col("node") < F.col("centre.node")
+    rows = members.where("component <> centre.component").select(
+        F.when(swap, other).otherwise(centre).alias("x"), F.when(swap, centre).otherwise(other).alias("y")
     )
-    members = cut(buckets.join(centres, "bucket").withColumn("first", F.col("centre.node")))
     # a set too small for the other one can't be similar enough
-    fits = f"100 * least(a_n, b_n) >= {SIMILARITY_PCT} * greatest(a_n, b_n)"
-    pairs = (
-        members.where("node <> first")
-        .select(
-            F.col("first").alias("a"), F.col("centre.key").alias("a_key"), F.col("centre.n_shingles").alias("a_n"),
-            F.col("node").alias("b"), F.col("key").alias("b_key"), F.col("n_shingles").alias("b_n"),
-        )
-        .where(fits)
-        .select("a", "a_key", "b", "b_key")
-        .distinct()
-    )
-    links = cut(confirmed(pairs, docs))
-    tried = pairs.select("a", "b")
-    members = members.drop("first", "centre")
-    centres = 8
+    fits = 100 * F.least("x.n_shingles", "y.n_shingles") >= SIMILARITY_PCT * F.greatest("x.n_shingles", "y.n_shingles")
+    names = {"x.node": "a", "x.key": "a_key", "y.node": "b", "y.key": "b_key"}
+    return rows.where(fits).select(*(F.col(c).alias(n) for c, n in names.items())).distinct()
+
+
+def centred(members: DataFrame, turn: Column) -> DataFrame:
+    """Members of the buckets that hold several components, each row with its bucket's centre: the least turn."""
+    own = F.struct("node", "key", "n_shingles", "component")
+    chosen = (
+        members.groupBy("bucket")
+        .agg(F.min(F.struct(turn.alias("turn"), own.alias("c"))).alias("best"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi")
+        .select("bucket", F.col("best.c").alias("centre"))
+    )
+    return members.join(chosen, "bucket")
+
+
+def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links (u, v) between nodes (node, n_shingles, key, bands)."""
+    buckets = nodes.where("node is not null").select(
+        F.explode("bands").alias("bucket"), "node", "n_shingles", "key", F.col("node").alias("component")
+    )
+    members = cut(centred(buckets, F.col("node")))
+    needed = members.select(F.col("node").alias("doc_id")).distinct()
+    text = docs.where("text is not null").select(F.col("doc_id").cast("bigint"), "text")
+    text = cut(text.join(needed, "doc_id", "left_semi"))
+    tried, links, turn = None, None, 1
     while True:
-        labels = components(links)
-        labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        still = (
-            labelled.groupBy("bucket")
-            .agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .where("lo < hi")
-            .select("bucket", "size")
-        )
-        labelled = cut(labelled.join(still, "bucket"))
-        largest = labelled.agg(F.max("size")).first()[0]
-        if largest is None:
+        pairs = stars(members)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        new = cut(confirmed(pairs, text))
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        links = new if links is None else links.union(new)
+        if turn >= LEAST_ROUNDS and new.isEmpty():
             return links
-        # the next centres of a bucket: its members whose place in a bucket's own order is low enough
-        turn = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) / (1 << 30)
-        heads = labelled.where(turn * F.col("size") < centres).select(
-            "bucket", F.struct("node", "key", "n_shingles", "component").alias("c")
-        )
-        swap = F.col("c.node") < F.col("node")
-        one, other = F.struct("node", "key", "n_shingles"), F.struct("c.node", "c.key", "c.n_shingles")
-        new = (
-            labelled.join(heads, "bucket")
-            .where("component <> c.component")
-            .select(F.when(swap, other).otherwise(one).alias("x"), F.when(swap, one).otherwise(other).alias("y"))
-            .select(
-                F.col("x.node").alias("a"), F.col("x.key").alias("a_key"), F.col("x.n_shingles").alias("a_n"),
-                F.col("y.node").alias("b"), F.col("y.key").alias("b_key"), F.col("y.n_shingles").alias("b_n"),
-            )
-            .where(fits)
-            .select("a", "a_key", "b", "b_key")
-            .distinct()
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        new = cut(new)
-        links = cut(links.union(confirmed(new, docs)).distinct())
-        if centres >= largest:
+        # a centre has met all members of its bucket and leaves it
+        rest = members.where("node <> centre.node").drop("centre", "component").join(components(links), "node", "left")
+        order = F.xxhash64("bucket", "node", F.lit(turn))
+        members = cut(centred(rest.withColumn("component", F.coalesce("component", "node")), order))
+        if members.isEmpty():
             return links
-        tried = tried.union(new.select("a", "b"))
-        members = labelled.select("bucket", "node", "n_shingles", "key")
-        centres *= 8
+        turn += 1
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

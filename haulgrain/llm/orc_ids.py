@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ def encoder(path: str) -> WordEncoder:
 
 def runs(texts: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Rows whose texts have a few megabytes together."""
-    sizes = np.diff(np.append(0, np.cumsum([len(t) if t is not None else 0 for t in map(pa.Scalar.as_py, texts)])))
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     row = 0
     while row < len(sizes):
         end, total = row, 0

@@ -138,7 +138,7 @@ def mentions(docs: DataFrame) -> DataFrame:
         schema = pa.schema(list(zip([c.split()[0] for c in FOUND.split(", ")], [*integers, string, string, pa.list_(string)], strict=True)))
         for batch in batches:
             keys, rows = list(zip(*(batch.column(k).to_pylist() for k in KEY), strict=True)), []
-            for key, text in zip(keys, map(pa.Scalar.as_py, batch.column("text")), strict=True):
+            for key, text in zip(keys, (t.as_py() for t in batch.column("text")), strict=True):
                 if not text:
                     continue
                 spans = base_spans(text)

@@ -4,9 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from haulgrain.llm import minhash, orc_ids, pii, quality, wumanber
-from haulgrain.llm.shared import new_folder, table
+from haulgrain.llm import chaining, line_dedup, minhash, orc_ids, pii, quality, sentencepiece_fst, toxicity, wumanber
+from haulgrain.llm.shared import hex_sha256, new_folder, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_substring_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents")).drop("_text_key")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", "runs", hex_sha256(F.coalesce("text", F.lit(""))).alias("text_sha256"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +32,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepiece_fst.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "round_trip")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,6 +79,35 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
 """
 
+LINE_DEDUP_SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: x) AS ls, text FROM documents
+), lines AS (
+  SELECT doc_id, i, l, regexp_matches(l, '[^\x20\x09-\x0D]') AS filled,
+    count(*) FILTER (WHERE regexp_matches(l, '[^\x20\x09-\x0D]')) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS nth,
+    translate(regexp_replace(regexp_replace(l, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM split)
+), filled AS (SELECT doc_id, nth - 1 AS p, norm FROM lines WHERE filled), windows AS (
+  SELECT doc_id, p, norm || chr(10) || lead(norm, 1) OVER w || chr(10) || lead(norm, 2) OVER w AS win
+  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+), later AS (
+  SELECT doc_id, p FROM windows WHERE win IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, p) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 3)) AS p FROM later), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 1 AS b
+  FROM (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS g FROM gone) GROUP BY doc_id, g
+), named AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_deleted, string_agg(a || '-' || b, ',' ORDER BY a) AS runs FROM runs GROUP BY doc_id
+), texts AS (
+  SELECT l.doc_id, count(*) FILTER (WHERE l.filled) AS n_lines,
+    coalesce(string_agg(l.l, chr(10) ORDER BY l.i) FILTER (WHERE g.p IS NULL OR NOT l.filled), '') AS text
+  FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.p = l.nth - 1 GROUP BY l.doc_id
+)
+SELECT t.doc_id, n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(runs, '') AS runs, sha256(t.text) AS text_sha256
+FROM texts t LEFT JOIN named n ON n.doc_id = t.doc_id
+"""
+
 NEAR_DEDUP_SQL = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents
@@ -113,14 +161,19 @@ FROM judged
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_substring_chaining": op2_substring_chaining,
+    "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_personal_data": op6_personal_data,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_orc_token_ids": op10_orc_token_ids,
 }
 
 ORACLE = {
+    "op3_line_dedup": LINE_DEDUP_SQL,
     "op4_benchmark_decontamination": DECONTAMINATION_SQL,
     "op8_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op9_quality_cascade": QUALITY_SQL,
