@@ -26,6 +26,8 @@ ON_TIME_ROW = {
     "tat_late_counter_val": "CASE WHEN length(lot_delay_reason_code) > 0 THEN 1 ELSE 0 END",
     "lot_delay_bucket_val": "COALESCE(NULLIF(lot_delay_reason_code_desc, ''), 'No delay')",
     "parent_carr_name": "split_part(carr_desc, '#', 1)",
+    "freight_auction_flag": "CASE WHEN actual_service_tms_code IS NULL THEN 'Y' ELSE 'N' END",
+    "primary_carr_flag": "CASE WHEN carr_num IS NOT NULL THEN 'Y' ELSE 'N' END",
     "exception_flag": "CASE WHEN change_type_code IS NULL THEN 'Y' ELSE 'N' END",
 }
 
@@ -40,10 +42,22 @@ ON_TIME_RESULT = {
 }
 
 # First events per load and stage.
-FIRST_EVENT_ON_TIME = (
-    "CASE WHEN actual_dlvry_tmstp <= first_appt_dlvry_tmstp THEN 1 "
-    "WHEN actual_dlvry_tmstp > first_appt_dlvry_tmstp THEN 0 END"
-)
+FIRST_EVENT = {
+    "first_event_on_time": "CASE WHEN actual_dlvry_tmstp <= first_appt_dlvry_tmstp THEN 1 "
+    "WHEN actual_dlvry_tmstp > first_appt_dlvry_tmstp THEN 0 END",
+}
+
+# Loads of the on-time result, for the inter-plant columns.
+ON_TIME_LOAD = {
+    "iot_shpmt_on_time_load_id": "CASE WHEN load_on_time = 1 THEN try_cast(load_id AS BIGINT) END",
+    "iot_measrbl_shpmt_load_id": "CASE WHEN measrbl_shpmt_cnt = 1 THEN try_cast(load_id AS BIGINT) END",
+}
+
+# Tender rows of the scorecard.
+SCORECARD_TENDER = {
+    "long_forward_agent_id": "CASE WHEN length(forward_agent_id) >= 10 THEN forward_agent_id "
+    "ELSE lpad(forward_agent_id, 10, '0') END",
+}
 
 LOADING = {
     "ship_month": "month(event_date)",
@@ -54,7 +68,18 @@ LOADING = {
     "country_to_desc": "COALESCE(country_to_code, 'UNKNOWN')",
 }
 
+# Events of the fill plan.
+FILL_PRIORITY = {
+    "load_builder_prty_val": "try_cast(load_builder_prty_val AS INT)",
+}
+
+# Freight statistics of the fill plan; the text is the distinct one.
+FILL_UNITS = {
+    "su_per_load_cnt": "try_cast(su_per_load_qty AS DOUBLE)",
+}
+
 FILL_ITEM = {
+    "load_id": "trim(LEADING '0' FROM load_id)",
     "gi_month_num": "month(try_cast(actual_goods_issue_date AS DATE))",
     "load_gbu_id": "gbu_code",
 }
@@ -88,6 +113,14 @@ FILL_JOINED = {
     "custom_vehicle_fill_rate_id": "concat(load_id, '-', COALESCE(load_gbu_id, 'OTHER'))",
 }
 
+# Order quantities of an item; their means per load are taken over distinct tuples.
+FILL_ORDER = {
+    "net_vol_order_qty": "plan_net_vol_qty",
+    "net_weight_order_qty": "plan_net_weight_qty",
+    "net_vol_fill_rate": "try_divide(shipped_net_vol_qty, max_vol_trans_mgmt_sys_qty)",
+    "max_net_weight_order_qty": "greatest(plan_net_weight_qty, shipped_net_weight_qty)",
+}
+
 # Lanes.
 FILL_LANE = {
     "load_density_rate": "try_divide(shipped_gross_weight_qty, shipped_gross_vol_qty)",
@@ -103,10 +136,6 @@ FILL_VALUED = {
     "check_density": "CASE WHEN density_rate < load_density_rate THEN 1 ELSE 0 END",
     "pallet_impact_pct": "1D - try_divide(pallet_shipped_qty, max_pallet_tms_trans_type_qty)",
     "pallet_impact_amt": "pallet_impact_pct * total_load_cost_amt",
-    "net_vol_order_qty": "plan_net_vol_qty",
-    "net_weight_order_qty": "plan_net_weight_qty",
-    "net_vol_fill_rate": "try_divide(shipped_net_vol_qty, max_vol_trans_mgmt_sys_qty)",
-    "max_net_weight_order_qty": "greatest(plan_net_weight_qty, shipped_net_weight_qty)",
     "opertng_space_impact_amt": "{operating_space} * total_load_cost_amt",
     "opertng_space_pct": "{operating_space}",
 }
@@ -168,6 +197,14 @@ FILL_SHARES = {
 UNIT_COST_GBU = "unit_code"
 
 
+def check_names(overrides: Mapping[str, str] | None, *groups: Mapping[str, str] | str) -> None:
+    """Refuse overrides that none of a plan's formula groups or single names knows."""
+    known = {n for g in groups for n in ([g] if isinstance(g, str) else g)}
+    unknown = sorted(set(overrides or ()) - known)
+    if unknown:
+        raise ValueError(f"unknown formulas: {unknown}; known are {sorted(known)}")
+
+
 def apply_formulas(
     df: DataFrame,
     defaults: Mapping[str, str],

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import join_totals
+from .reshape import union_all
+from .skew import join_apart, join_totals
 from .stage import Stage, no_stage
 
 
@@ -79,24 +79,26 @@ def fallback_match(
     coarse one and 0 for none.  Every fact comes out in one tier.  With ``keep_duplicates=True``
     unmatched facts are also kept in their ungrouped form with tier 0, which counts them twice.
 
+    One left join marks the facts that meet an exact row; it is handed to ``stage`` as
+    ``fallback_matched`` because matched and unmatched rows part there.  A second left join does
+    the same on the coarse keys.
     """
-    facts = stage(facts, "fallback_facts")
-    exact = _attach(facts, ref, exact_keys).withColumn("match_tier", F.lit(1))
-    rest = _unmatched(facts, ref, exact_keys)
-    regrouped = stage(regroup(rest) if regroup is not None else rest, "fallback_rest")
-    coarse = _attach(regrouped, ref, coarse_keys).withColumn("match_tier", F.lit(2))
-    nowhere = _unmatched(regrouped, ref, coarse_keys).withColumn("match_tier", F.lit(0))
-    parts = [exact, coarse, nowhere]
+    tried = stage(_marked(facts, ref, exact_keys), "fallback_matched")
+    exact = tried.filter("_hit = 1").drop("_hit").withColumn("match_tier", F.lit(1))
+    rest = tried.filter("_hit IS NULL").select(*facts.columns)
+    regrouped = regroup(rest) if regroup is not None else rest
+    tier = F.when(F.col("_hit") == 1, 2).otherwise(0)
+    coarse = _marked(regrouped, ref, coarse_keys).withColumn("match_tier", tier).drop("_hit")
+    parts = [exact, coarse]
     if keep_duplicates:
         parts.append(rest.withColumn("match_tier", F.lit(0)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union_all(parts, fill_missing=True)
 
 
-def _attach(facts: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join, so that a hot key can be split on either side; shared columns of the facts stay."""
-    shared = [c for c in ref.columns if c in facts.columns and c not in keys]
-    return facts.join(ref.drop(*shared), list(keys), "inner")
-
+def _marked(facts: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Facts with the reference rows of their keys and ``_hit`` = 1, or NULL where there is none.
 
-def _unmatched(facts: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return join_totals(facts, ref.select(*keys).distinct(), keys, "left_anti")
+    Columns that both have stay the facts' own.
+    """
+    shared = [c for c in ref.columns if c in facts.columns and c not in keys]
+    return join_apart(facts, ref.drop(*shared).withColumn("_hit", F.lit(1)), keys, "left")

@@ -65,6 +65,15 @@ def join_totals(
     return joined.drop(*right_keys, "_salt", "_r_salt")
 
 
+def join_apart(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on common keys that gets exchanges of its own, so that hot keys can be split.
+
+    Neither side's earlier partitioning is reused (see ``join_totals``); keys may repeat on both.
+    """
+    salted = [df.withColumn("_salt", _single_salt(keys)) for df in (left, right)]
+    return salted[0].join(salted[1], [*keys, "_salt"], how).drop("_salt")
+
+
 def _single_salt(keys: Sequence[str]) -> Column:
     """Zero for every row, computed from the keys so that the planner keeps it as a join key."""
     return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(1)).cast("int")

@@ -6,7 +6,6 @@ frames worth keeping; the default keeps everything in one lazy plan.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -28,20 +27,16 @@ def persisted(df: DataFrame, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset a temporary folder is used in local mode only.
+    Where it is unset, a folder inside the warehouse, which the executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="haulgrain-")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
@@ -50,7 +45,8 @@ def written(spark: SparkSession, *only: str) -> Stage:
     """Stage that writes each frame as Parquet below the shared folder and reads it back.
 
     Later steps then prune columns and see real sizes, so small stages are broadcast safely.
-    Given names, it writes just those frames and leaves the others in the plan.
+    Given names, it writes just those frames and leaves the others in the plan.  Writing runs a job
+    at once, so a plan built with this stage is not lazy up to the written frames.
     """
     base = f"{shared_folder(spark)}/stages-{uuid.uuid4().hex}"
 

@@ -1,21 +1,22 @@
 """Vehicle fill at delivery-item grain.
 
 Everything that belongs to a load (shipped and planned totals, statistics, costs, cost steps,
-priority) is aggregated from narrow projections and gathered into one frame with a row per load;
-the items are then joined with that frame once.  Frames read by several later steps are handed to
-``stage``: ``trucks`` (one truck per load and order), ``loads`` (all load facts), ``prepared``
-(items with all load facts) and ``valued`` (items with their impacts).
+priority) is aggregated from narrow projections and gathered into one frame with a row per load.
+The items are joined with it once, which also cuts them to the first stage of their load; what
+follows is computed from the cut rows, and joined on the load once more.  Frames that several steps
+read are handed to ``stage``: ``items`` (with their trucks), ``costs``, ``loads`` (all load facts),
+``prepared`` (cut items with all load facts) and ``valued`` (items with their impacts).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import formulas as fx
-from ..functions.formulas import apply_formulas
+from ..functions.formulas import apply_formulas, check_names
 from ..functions.keys import normalize_key, tail_key
 from ..functions.rules import clamp_floor
 from ..operators.dedupe import final_stage_attr, latest_per_key
@@ -23,16 +24,16 @@ from ..operators.match import bridge, lookup
 from ..operators.rollup import (
     RollupSpec,
     attach_group_total,
-    distinct_text_sum,
     distinct_then_sum,
     flatten_hierarchy,
     max_then_sum,
     wide_rollup,
 )
-from ..operators.skew import join_totals
+from ..operators.skew import join_apart, join_totals
 from ..operators.stage import Stage, no_stage
+from .columns import CUSTOMER_LEVELS, SUBSECTOR_COUNTS
 
-# Keys of an item; an item with one of them missing is not part of the result.
+# Keys of an item.
 ITEM_KEYS = [
     "load_id",
     "load_gbu_id",
@@ -56,7 +57,38 @@ LOW_DENSITY = 0.5
 
 LOAD_DIGITS = 9  # characters at the end of a transport number that make up the load number
 
-CUSTOMER_LEVELS = [f"customer_lvl{i}_{part}" for i in range(1, 13) for part in ("code", "desc")]
+# History columns of the order linkage, which are not carried on.
+LINKAGE_HISTORY = ["load_tmstp", "load_from_file_name", "last_update_utc_tmstp"]
+
+# Costs of a load.
+COSTS = [
+    "actual_carr_trans_cost_amt",
+    "linehaul_cost_amt",
+    "incrmtl_freight_auction_cost_amt",
+    "cnc_carr_mix_cost_amt",
+    "unsource_cost_amt",
+    "fuel_cost_amt",
+    "acsrl_cost_amt",
+]
+
+
+# Formula groups and single names that the plan reads.
+FORMULAS = [
+    fx.FILL_ITEM,
+    fx.FILL_PREPARED,
+    fx.FILL_JOINED,
+    fx.FILL_ORDER,
+    fx.FILL_LANE,
+    fx.FILL_VALUED,
+    fx.FILL_IMPACT,
+    fx.FILL_FINAL,
+    fx.FILL_PRIORITY,
+    fx.FILL_UNITS,
+    "subsector_sales_cnt",
+    "vehicle_true_max_vol_qty",
+    "pallet_load_qty",
+    "net_density_order_qty",
+]
 
 
 # --- trucks ---------------------------------------------------------------------------------
@@ -87,14 +119,19 @@ def truck_releases(truck_report: DataFrame) -> DataFrame:
 
 
 def order_loads(order_linkage: DataFrame) -> DataFrame:
-    """Latest linkage row per order and transport; the transport number's tail is the load."""
+    """Latest linkage row per order and transport with its other columns.
+
+    The tail of the transport number is the load.
+    """
     latest = latest_per_key(order_linkage, ["sap_order_num", "transport_num"], ["load_tmstp"])
-    return latest.select(
-        F.col("sap_order_num").alias("order_num"),
-        tail_key("transport_num", LOAD_DIGITS).alias("load_id"),
-        F.col("sap_order_num").alias("doc_flow_order_num"),
-        F.col("transport_num").alias("doc_flow_load_id"),
-    )
+    return latest.drop(*LINKAGE_HISTORY).withColumns(
+        {
+            "order_num": F.col("sap_order_num"),
+            "load_id": tail_key("transport_num", LOAD_DIGITS),
+            "doc_flow_order_num": F.col("sap_order_num"),
+            "doc_flow_load_id": F.col("transport_num"),
+        }
+    ).drop("sap_order_num")
 
 
 def trucks(
@@ -133,12 +170,7 @@ def trucks(
 
 def normalize_items(items: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Items with load and material numbers freed of leading zeros and their business unit."""
-    rows = items.withColumns(
-        {
-            "load_id": normalize_key("load_id"),
-            "material_doc_num": normalize_key("material_doc_num"),
-        }
-    )
+    rows = items.withColumn("material_doc_num", normalize_key("material_doc_num"))
     return apply_formulas(rows, fx.FILL_ITEM, formulas)
 
 
@@ -208,7 +240,7 @@ def _costs(load_costs: DataFrame) -> DataFrame:
 def cost_per_load(load_costs: DataFrame) -> DataFrame:
     """Costs, subsector counts and lane attributes per load, with the mean awarded volume."""
     rows = _costs(load_costs)
-    wanted = [c for c in rows.columns if c.endswith(("_cost_amt", "_subsector_step_cnt", "_subsector_cnt"))]
+    # fixed values: lane columns of the cost rows
     lane = [
         "origin_zone_ship_from_code",
         "origin_loc_id",
@@ -218,7 +250,7 @@ def cost_per_load(load_costs: DataFrame) -> DataFrame:
         "tms_service_code",
         "freight_auction_flag",
     ]
-    attributes = {c: c for c in [*wanted, *lane] if c in rows.columns}
+    attributes = {c: c for c in [*COSTS, *SUBSECTOR_COUNTS, *lane] if c in rows.columns}
     attributes |= {"dest_loc_code": "ship_to_party_id", "tac_freight_type_code": "freight_type_code"}
     spec = RollupSpec(["load_id"], attributes=attributes, means=["avg_award_weekly_vol_qty"])
     return wide_rollup(rows, spec).withColumn(
@@ -235,21 +267,21 @@ def awarded_volume(load_costs: DataFrame) -> DataFrame:
     return wide_rollup(_costs(load_costs), spec)
 
 
-def freight_per_load(freight_stats: DataFrame) -> DataFrame:
+def freight_per_load(freight_stats: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Step factor, charge code and statistical units per load."""
     rows = freight_stats.withColumn("load_id", normalize_key("shpmt_id", mode="one"))
     steps = rows.groupBy("load_id").agg(
         F.max("step_per_load_rate").alias("step_factor"),
         F.max("freight_cost_charge_code").alias("max_freight_cost_charge_code"),
     )
-    units = distinct_text_sum(rows, ["load_id"], "su_per_load_qty", "su_per_load_cnt")
+    texts = apply_formulas(rows.select("load_id", "su_per_load_qty").distinct(), fx.FILL_UNITS, formulas)
+    units = texts.groupBy("load_id").agg(F.sum("su_per_load_cnt").alias("su_per_load_cnt"))
     return steps.join(units, "load_id", "left")
 
 
-def load_priority(events: DataFrame) -> DataFrame:
+def load_priority(events: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Load builder priority per load, where it is positive."""
-    priority = F.col("load_builder_prty_val").try_cast("int")
-    rows = events.select("load_id", priority.alias("load_builder_prty_val"))
+    rows = apply_formulas(events.select("load_id", "load_builder_prty_val"), fx.FILL_PRIORITY, formulas)
     rows = rows.filter("load_builder_prty_val > 0")
     return rows.groupBy("load_id").agg(F.max("load_builder_prty_val").alias("load_builder_prty_val"))
 
@@ -292,25 +324,33 @@ def build(
     operating_space: float = OPERATING_SPACE,
     load_max_volume: float = LOAD_MAX_VOLUME,
     coherent_hierarchy: bool = False,
+    keep_null_keys: bool = True,
+    one_truck: bool = True,
     unit_salts: int = 16,
     stage: Stage = no_stage,
 ) -> DataFrame:
     """Items at the first stage of their load, one row per distinct source row.
 
-    ``unit_salts`` spreads the few, large business units when their totals are attached.
+    An item with a NULL in one of ``ITEM_KEYS`` other than its load and stage is kept;
+    ``keep_null_keys=False`` drops it, as a join on these keys does.  ``one_truck=False`` repeats an
+    item for every truck of its load and order instead of taking the latest release.  ``unit_salts``
+    spreads the few, large business units when their totals are attached.
     """
-    items = normalize_items(delivery_items, formulas)
-    chain = _one_truck(trucks(order_linkage, truck_report, vehicles, formulas))
-    chain = stage(chain, "trucks")
-    with_trucks = _with_trucks(items, chain, formulas)
-
-    loads = load_statistics(with_trucks)
+    check_names(formulas, *FORMULAS)
+    chain = trucks(order_linkage, truck_report, vehicles, formulas)
+    if one_truck:
+        chain = latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
+    items = _with_trucks(normalize_items(delivery_items, formulas), chain, formulas, one_truck)
+    items = stage(items, "items")
+    load_costs = stage(load_costs, "costs")
+
+    loads = load_statistics(items)
     for frame in (
         shipped_totals(items),
-        planned_totals(with_trucks),
+        planned_totals(items),
         cost_per_load(load_costs),
-        freight_per_load(freight_stats),
-        load_priority(events),
+        freight_per_load(freight_stats, formulas),
+        load_priority(events, formulas),
         final_stage_attr(
             items, "load_id", "trans_stage_num", ["ship_to_party_id", "ship_to_party_desc"]
         ),
@@ -319,10 +359,12 @@ def build(
 
     loads = stage(loads, "loads")
 
-    # Duplicates only matter here: every aggregate above is indifferent to them.
-    unique = _with_trucks(items.dropna(subset=ITEM_KEYS).distinct(), chain, formulas)
-    joined = join_totals(unique, loads, ["load_id"], "inner")
+    joined = join_totals(items, loads, ["load_id"], "inner")
     joined = joined.filter("trans_stage_num = min_trans_stage_num")
+    if not keep_null_keys:
+        joined = joined.dropna(subset=ITEM_KEYS)
+    # Duplicates only matter here: every aggregate above is indifferent to them.
+    joined = joined.distinct()
     awarded = awarded_volume(load_costs)
     joined = join_totals(joined, awarded, ["load_id", "carr_id", "tms_service_code"])
     hierarchy = ship_to_hierarchy(
@@ -332,9 +374,11 @@ def build(
     joined = lookup(joined, value_categories, ["tdcval_code"], {"categ_name": "category"})
     prepared = stage(_joined_formulas(joined, formulas), "prepared")
 
-    valued = _with_load_averages(
-        _with_lanes_and_pallets(prepared, formulas, low_density, operating_space), formulas
-    )
+    shares = pallets_per_load(prepared, formulas).join(load_averages(prepared, formulas), "load_id")
+    valued = join_totals(prepared, shares, ["load_id"])
+    lanes = lane_density(prepared, formulas, low_density)
+    valued = join_totals(valued, lanes, ["origin_zone_ship_from_code", "dest_ship_from_code"])
+    valued = apply_formulas(valued, fx.FILL_VALUED, formulas, operating_space=operating_space)
     valued = lookup(
         valued,
         origin_names,
@@ -355,25 +399,18 @@ def build(
     return final.withColumn("last_update_utc_tmstp", F.current_timestamp())
 
 
-def _one_truck(chain: DataFrame) -> DataFrame:
-    """One truck row per load and order: two transports may share the tail of their number."""
-    return latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
-
-
 def _with_trucks(
-    items: DataFrame, chain: DataFrame, formulas: Mapping[str, str] | None
+    items: DataFrame, chain: DataFrame, formulas: Mapping[str, str] | None, one_truck: bool
 ) -> DataFrame:
-    rows = join_totals(items, chain, ["load_id", "order_num"])
+    keys = ["load_id", "order_num"]
+    rows = join_totals(items, chain, keys) if one_truck else join_apart(items, chain, keys, "left")
     return apply_formulas(rows, fx.FILL_PREPARED, formulas)
 
 
 def _joined_formulas(joined: DataFrame, formulas: Mapping[str, str] | None) -> DataFrame:
-    counts = [c for c in joined.columns if c.endswith(("_subsector_step_cnt", "_subsector_cnt"))]
-    known: Column = F.lit(0)
-    for c in counts:
-        known = known + F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
-    joined = joined.withColumn("subsector_sales_cnt", known.cast("double"))
-    return apply_formulas(joined, fx.FILL_JOINED, formulas)
+    steps = [f"COALESCE(try_cast({c} AS DOUBLE), 0D)" for c in SUBSECTOR_COUNTS if c in joined.columns]
+    group = fx.FILL_JOINED | {"subsector_sales_cnt": " + ".join(steps) or "0D"} | fx.FILL_ORDER
+    return apply_formulas(joined, group, formulas)
 
 
 def lane_density(
@@ -401,19 +438,7 @@ def pallets_per_load(prepared: DataFrame, formulas: Mapping[str, str] | None = N
     return shares.groupBy("load_id").agg(F.sum(F.expr(text)).alias("pallet_load_qty"))
 
 
-def _with_lanes_and_pallets(
-    prepared: DataFrame,
-    formulas: Mapping[str, str] | None,
-    low_density: float,
-    operating_space: float,
-) -> DataFrame:
-    joined = join_totals(prepared, pallets_per_load(prepared, formulas), ["load_id"])
-    lanes = lane_density(prepared, formulas, low_density)
-    joined = join_totals(joined, lanes, ["origin_zone_ship_from_code", "dest_ship_from_code"])
-    return apply_formulas(joined, fx.FILL_VALUED, formulas, operating_space=operating_space)
-
-
-def _with_load_averages(rows: DataFrame, formulas: Mapping[str, str] | None) -> DataFrame:
+def load_averages(prepared: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Means of the order quantities per load, over distinct tuples, and their density."""
     means = {
         "avg_max_weight_net_order": "max_net_weight_order_qty",
@@ -421,11 +446,10 @@ def _with_load_averages(rows: DataFrame, formulas: Mapping[str, str] | None) ->
         "avg_net_weight_order_qty": "net_weight_order_qty",
         "avg_net_vol_order_qty": "net_vol_order_qty",
     }
-    tuples = rows.select("load_id", *means.values(), "pallet_spot_qty").distinct()
+    tuples = prepared.select("load_id", *means.values(), "pallet_spot_qty").distinct()
     spec = RollupSpec(["load_id"], means=means, sums={"sum_pallet_spot_qty": "pallet_spot_qty"})
     text = (formulas or {}).get("net_density_order_qty", fx.NET_DENSITY_PER_LOAD)
-    averages = wide_rollup(tuples, spec).withColumn("net_density_order_qty", F.expr(text))
-    return join_totals(rows, averages, ["load_id"])
+    return wide_rollup(tuples, spec).withColumn("net_density_order_qty", F.expr(text))
 
 
 def _impacts(rows: DataFrame, formulas: Mapping[str, str] | None, max_volume: float) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.formulas import LOADING, apply_formulas
+from ..functions.formulas import LOADING, apply_formulas, check_names
 from ..functions.keys import composite_key, normalize_key
 from ..functions.periods import EVENT_STAMP_SENTINEL, parse_dmy, parse_event_stamp
 from ..functions.rules import non_blank, not_sentinel, presence
@@ -17,6 +17,9 @@ from ..operators.dedupe import drop_linked_children, latest_per_key
 PICK_UP_EVENTS = ["PICKCI", "PICKCO"]
 FIRST_STAGE = "1"
 
+# Event columns that have another name in the result.
+RESULT_NAMES = {"dest_zone_code": "dest_zone_val", "frt_type_desc": "freight_type_val"}
+
 
 def pick_up_events(events: DataFrame) -> DataFrame:
     """First-stage pick-up events with all the dates and reasons the result needs."""
@@ -33,10 +36,11 @@ def pick_up_events(events: DataFrame) -> DataFrame:
 
 def build(events: DataFrame, *, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Latest event per load and change type, loads that are children of another left out."""
+    check_names(formulas, LOADING)
     children = events.select(normalize_key("child_shpmt_num", mode="one").alias("child_load_id"))
     picked = drop_linked_children(pick_up_events(events), "load_id", children, "child_load_id")
     latest = latest_per_key(picked, ["load_id", "change_type_code"], ["event_datetm"])
-    dated = latest.withColumns(
+    dated = latest.withColumnsRenamed(RESULT_NAMES).withColumns(
         {
             "event_date": parse_event_stamp("event_datetm").cast("date"),
             "load_end_date": parse_dmy("actual_load_end_date"),

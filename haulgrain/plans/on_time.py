@@ -1,8 +1,9 @@
 """Customer shipments on time: one row per order, load, ship-to and reason.
 
-The event fact is read by four column-pruned aggregates (order key, load, load x stage x event,
-load x profile), each combined before its shuffle, and only their results are joined.  The facts
-themselves are never joined to anything but small lookups.
+The prepared events go to ``stage`` as ``on_time_rows``, because four column-pruned aggregates read
+them (order key, load, load x stage x event, load x profile), each combined before its shuffle.  Only
+their results are joined; the events themselves meet two lookups, which Spark broadcasts while they
+are small and joins by shuffling beyond that.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.formulas import (
-    FIRST_EVENT_ON_TIME,
+    FIRST_EVENT,
+    ON_TIME_LOAD,
     ON_TIME_RESULT,
     ON_TIME_ROW,
     apply_formulas,
+    check_names,
 )
 from ..functions.keys import composite_key, normalize_key
 from ..functions.periods import parse_date_time
@@ -27,6 +30,7 @@ from ..operators.rollup import RollupSpec, wide_rollup
 from ..operators.skew import join_totals
 from ..operators.stage import Stage, no_stage
 
+# The columns that identify a row of the result.
 KEYS = [
     "order_num",
     "load_id",
@@ -67,7 +71,7 @@ RESULT_NAMES = {
     "origin_zone_code": "parent_loc_code",
 }
 
-# Event columns that only feed load-level results or other plans.
+# Event columns that only feed load-level results or other plans.
 NOT_IN_RESULT = [
     "trnsp_stage_num",
     "event_datetm",
@@ -127,11 +131,11 @@ def load_facts(rows: DataFrame, last_ship_to: str = "max") -> DataFrame:
     return rows.groupBy("load_id").agg(*aggregates).join(last, "load_id", "left")
 
 
-def first_delivery_ratio(rows: DataFrame) -> DataFrame:
+def first_delivery_ratio(rows: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Per load: on-time count of the first events of its stages over its highest stage."""
     stamps = ["actual_dlvry_tmstp", "first_appt_dlvry_tmstp"]
     first = first_event(rows, ["load_id", "trnsp_stage_num"], "event_datetm", stamps)
-    counted = first.withColumn("_kept", F.expr(FIRST_EVENT_ON_TIME))
+    counted = first.withColumn("_kept", F.expr({**FIRST_EVENT, **(formulas or {})}["first_event_on_time"]))
     per_load = counted.groupBy("load_id").agg(
         F.max("_kept").alias("_kept"), F.max("trnsp_stage_num").alias("_stages")
     )
@@ -188,31 +192,31 @@ def build(
 
     ``override_customers`` are measured by the promise of their load's profile, all others by the
     on-time percentage.  ``largest_order_only=True`` gives the load's promise result only to its
-    order with the highest number.  Unless ``null_safe_keys``, an order with a NULL key column
-    gets no promise result.
+    order with the highest number; the other orders of a listed customer then have no percentage.
+    Unless ``null_safe_keys``, an order with a NULL key column gets no promise result and counts as
+    no listed customer.  An order with several profiles takes the highest profile text.
     """
+    check_names(formulas, ON_TIME_ROW, ON_TIME_RESULT, ON_TIME_LOAD, FIRST_EVENT)
     rows = stage(prepare(events, formulas), "on_time_rows")
 
     orders = _orders(rows, origin_units, on_time_reasons)
 
     loads = load_facts(rows, last_ship_to)
-    loads = loads.join(first_delivery_ratio(rows), "load_id", "left")
+    loads = loads.join(first_delivery_ratio(rows, formulas), "load_id", "left")
     loads = loads.join(distance_per_load(freight_stats), "load_id", "left")
     joined = join_totals(orders, loads, ["load_id"])
 
     has_load, is_measurable = F.col("load_on_time") == 1, F.col("measrbl_shpmt_cnt") == 1
-    number = F.col("load_id").try_cast("long")
     iot_pct = F.when(is_measurable, F.when(has_load, 100.0).otherwise(0.0))
     joined = joined.withColumns(
         {
             "shpmt_cnt": F.lit(1),
             "shpmt_on_time_cnt": F.when(F.col("failure_bucket_updated_name") == ON_TIME, 1),
-            "iot_shpmt_on_time_load_id": F.when(has_load, number),
-            "iot_measrbl_shpmt_load_id": F.when(is_measurable, number),
             "iot_on_time_pct": iot_pct,
             "iot_on_time2_pct": iot_pct,
         }
-    ).drop("load_on_time")
+    )
+    joined = apply_formulas(joined, ON_TIME_LOAD, formulas).drop("load_on_time")
 
     joined = lookup(
         joined,
@@ -259,16 +263,17 @@ def _promise_of_orders(
 ) -> DataFrame:
     """Attach the promise result of the order's load and profile."""
     with_flag = join_totals(orders, promise_kept(rows), ["load_id", "profl_method_code"])
-    valid = F.lit(True)
-    if largest_order_only:
-        valid = valid & (F.col("order_num") == F.col("largest_order_num"))
+    known = F.lit(True)
     if not null_safe_keys:
         for key in KEYS:
-            valid = valid & F.col(key).isNotNull()
+            known = known & F.col(key).isNotNull()
+    judged = known
+    if largest_order_only:
+        judged = known & (F.col("order_num") == F.col("largest_order_num"))
     return with_flag.withColumns(
         {
-            "load_lvl_on_time_pct": F.when(valid, F.col("load_lvl_on_time_pct")),
-            "_override_customer": F.when(valid, F.col("customer_desc")),
+            "load_lvl_on_time_pct": F.when(judged, F.col("load_lvl_on_time_pct")),
+            "_override_customer": F.when(known, F.col("customer_desc")),
         }
     ).drop("largest_order_num")
 

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import composite_key, normalize_key, padded_key
+from ..functions.formulas import SCORECARD_TENDER, apply_formulas, check_names
+from ..functions.keys import composite_key, normalize_key
 from ..functions.periods import parse_dmy, year_week_key
 from ..functions.rules import not_text_null
 from ..operators.match import fallback_match
 from ..operators.rollup import RollupSpec, wide_rollup
+from ..operators.skew import join_totals
 from ..operators.stage import Stage, no_stage
 
 WEEK = "week_year_val"
-CARRIER_DIGITS = 10
 
+# The column lists down to FILL_MEANS name columns of the source and target tables.
 EXACT = [WEEK, "forward_agent_id", "service_tms_code", "origin_code", "dest_ship_from_code"]
 COARSE = [
     WEEK,
@@ -48,12 +52,14 @@ LOADING_SUMS = {
 
 # Quantities that are both summed and averaged.
 FILL_QUANTITIES = [
-    *(
-        f"{kind}_{basis}_{measure}_qty"
-        for measure in ("weight", "vol")
-        for kind in ("plan", "shipped")
-        for basis in ("gross", "net")
-    ),
+    "plan_gross_weight_qty",
+    "plan_net_weight_qty",
+    "shipped_gross_weight_qty",
+    "shipped_net_weight_qty",
+    "plan_gross_vol_qty",
+    "plan_net_vol_qty",
+    "shipped_gross_vol_qty",
+    "shipped_net_vol_qty",
     "max_weight_qty",
     "max_vol_trans_mgmt_sys_qty",
 ]
@@ -70,7 +76,7 @@ FILL_AMOUNTS = [
 FILL_MEANS = ["floor_position_qty", "max_pallet_tms_trans_type_qty"]
 
 
-def tender_facts(tender_weekly: DataFrame) -> DataFrame:
+def tender_facts(tender_weekly: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Weekly tender rows under the scorecard's key names, with lane and ten-digit carrier keys."""
     renamed = tender_weekly.withColumnsRenamed(
         {
@@ -80,12 +86,8 @@ def tender_facts(tender_weekly: DataFrame) -> DataFrame:
             "origin_location_id": "origin_code",
         }
     ).drop("carr_desc")
-    return renamed.withColumns(
-        {
-            "long_forward_agent_id": padded_key("forward_agent_id", CARRIER_DIGITS),
-            "lane_key": composite_key("origin_zone_ship_from_code", "dest_ship_from_code"),
-        }
-    )
+    named = apply_formulas(renamed, SCORECARD_TENDER, formulas)
+    return named.withColumn("lane_key", composite_key("origin_zone_ship_from_code", "dest_ship_from_code"))
 
 
 def on_time_facts(on_time_view: DataFrame) -> DataFrame:
@@ -109,20 +111,23 @@ def on_time_facts(on_time_view: DataFrame) -> DataFrame:
     return rolled.withColumn(ORIGIN, F.col("origin_code"))
 
 
-def regroup_to_lane(unmatched: DataFrame) -> DataFrame:
+def regroup_to_lane(unmatched: DataFrame, counts: str = "sum") -> DataFrame:
     """Facts without an exact tender match, brought to the lane grain.
 
-    Counts are summed per origin first; the lane takes the highest of its origins.
+    ``counts="sum"`` adds up the counts of the lane's origins, so that no shipment is lost.
+    ``"max"`` sums them per origin and takes the highest origin, as the source jobs do.
     """
+    lane = ["parent_loc_code", "dest_ship_from_code", "forward_agent_id", "service_tms_code", WEEK]
+    if counts == "sum":
+        lanes = wide_rollup(unmatched, RollupSpec(lane, attributes=[*NAMES, ORIGIN], sums=COUNTS))
+        return lanes.withColumn("origin_zone_ship_from_code", F.col("parent_loc_code"))
+    if counts != "max":
+        raise ValueError(f"counts must be sum or max, not {counts!r}")
     origin_spec = RollupSpec(
         EXACT, attributes=[*NAMES, "parent_loc_code", ORIGIN], sums=COUNTS
     )
     per_origin = wide_rollup(unmatched, origin_spec)
-    lane_spec = RollupSpec(
-        ["parent_loc_code", "dest_ship_from_code", "forward_agent_id", "service_tms_code", WEEK],
-        attributes=[*NAMES, *COUNTS, ORIGIN],
-    )
-    lanes = wide_rollup(per_origin, lane_spec)
+    lanes = wide_rollup(per_origin, RollupSpec(lane, attributes=[*NAMES, *COUNTS, ORIGIN]))
     return lanes.withColumn("origin_zone_ship_from_code", F.col("parent_loc_code"))
 
 
@@ -168,31 +173,35 @@ def build(
     fill_view: DataFrame,
     *,
     keep_duplicates: bool = False,
+    lane_counts: str = "sum",
     pad_week: bool = True,
     year_mode: str = "calendar",
+    formulas: Mapping[str, str] | None = None,
     stage: Stage = no_stage,
 ) -> DataFrame:
     """Scorecard rows with the tier their tender data was matched in.
 
     On-time facts meet the tender rows of their exact origin; those without any are regrouped to
     the lane and meet the tender rows of the zone.  ``keep_duplicates=True`` also keeps the
-    unmatched facts in their ungrouped form.
+    unmatched facts in their ungrouped form; ``lane_counts`` is explained at ``regroup_to_lane``.
+    A ``stage`` that writes ``fallback_matched`` lets the on-time facts be read once.
     """
-    tender = stage(tender_facts(tender_weekly), "tender_facts")
+    check_names(formulas, SCORECARD_TENDER)
+    tender = stage(tender_facts(tender_weekly, formulas), "tender_facts")
     matched = fallback_match(
         on_time_facts(on_time_view),
         tender,
         EXACT,
         COARSE,
         keep_duplicates=keep_duplicates,
-        regroup=regroup_to_lane,
+        regroup=lambda rest: regroup_to_lane(rest, lane_counts),
         stage=stage,
     )
     known = matched.filter(not_text_null(ORIGIN))
-    with_loading = known.join(loading_facts(loading_view), ATTACH, "left")
+    with_loading = join_totals(known, loading_facts(loading_view), ATTACH)
     fill = fill_facts(fill_view, pad_week, year_mode)
     return (
-        with_loading.join(fill, ATTACH, "left")
+        join_totals(with_loading, fill, ATTACH)
         .withColumnsRenamed({"lane": "lane_name"})
         .drop("lane_key")
     )

@@ -10,31 +10,48 @@ from pyspark.sql import functions as F
 from ..functions.keys import normalize_key
 from ..functions.periods import year_week_key
 from ..operators.dedupe import latest_n_periods
+from ..operators.match import lookup
 from ..operators.skew import join_totals
 
+from .columns import CUSTOMER_LEVELS, SUBSECTOR_COUNTS
+
 WEEKS_KEPT = 13
 
 # Columns that are not part of the lane grain.
-NOT_IN_LANES = (
-    "actual_carr_trans_cost_amt linehaul_cost_amt incrmtl_freight_auction_cost_amt "
-    "cnc_carr_mix_cost_amt unsource_cost_amt fuel_cost_amt acsrl_cost_amt forward_agent_id "
-    "service_tms_code sold_to_party_id ship_cond_val primary_carr_flag month_type_val "
-    "cal_year_num month_date week_num dest_postal_code"
-).split()
+NOT_IN_LANES = [
+    "actual_carr_trans_cost_amt",
+    "linehaul_cost_amt",
+    "incrmtl_freight_auction_cost_amt",
+    "cnc_carr_mix_cost_amt",
+    "unsource_cost_amt",
+    "fuel_cost_amt",
+    "acsrl_cost_amt",
+    "forward_agent_id",
+    "service_tms_code",
+    "sold_to_party_id",
+    "ship_cond_val",
+    "primary_carr_flag",
+    "month_type_val",
+    "cal_year_num",
+    "month_date",
+    "week_num",
+    "dest_postal_code",
+]
 
 # Costs and zone columns that are not part of the shipment grain.
-NOT_IN_SHIPMENTS = (
-    "actual_carr_trans_cost_amt linehaul_cost_amt incrmtl_freight_auction_cost_amt "
-    "cnc_carr_mix_cost_amt unsource_cost_amt fuel_cost_amt acsrl_cost_amt "
-    "origin_zone_code daily_award_qty"
-).split()
-
-
-def _not_in_shipments(loads: DataFrame) -> list[str]:
-    """Costs, subsector counts and customer levels of the loads."""
-    levels = [c for c in loads.columns if c.startswith("customer_lvl")]
-    counts = [c for c in loads.columns if c.endswith(("_subsector_step_cnt", "_subsector_cnt"))]
-    return [*NOT_IN_SHIPMENTS, *levels, *counts]
+NOT_IN_SHIPMENTS = [
+    "actual_carr_trans_cost_amt",
+    "linehaul_cost_amt",
+    "incrmtl_freight_auction_cost_amt",
+    "cnc_carr_mix_cost_amt",
+    "unsource_cost_amt",
+    "fuel_cost_amt",
+    "acsrl_cost_amt",
+    "origin_zone_code",
+    "daily_award_qty",
+    *SUBSECTOR_COUNTS,
+    *CUSTOMER_LEVELS,
+]
 
 
 def lanes(
@@ -68,18 +85,18 @@ def shipments(
     *,
     match_on: Sequence[str] = ("origin_zone_ship_from_code", "dest_ship_from_code"),
     year_mode: str = "calendar",
+    repeat_stops: bool = False,
 ) -> DataFrame:
     """Loads of the weeks in ``tender_lanes`` with their lane rows and final stop.
 
     Loads and lanes meet on the week and on ``match_on``.  ``match_on=()`` meets on the week only,
     which repeats every load for each lane of its week.  Loads are first cut down to the weeks and
     lanes in question, then deduplicated, then joined.  Columns both sides have beyond the join
-    keys come out twice, the lane's with the prefix ``lane_``.
+    keys come out twice, the lane's with the prefix ``lane_``.  Of several stops with one postal
+    code the highest value of each column is taken; ``repeat_stops=True`` repeats the shipment for
+    each of them instead.
     """
-    loads = load_costs.withColumn("load_id", normalize_key("load_id", mode="one"))
-    loads = loads.drop(*_not_in_shipments(loads)).withColumn(
-        "concat_week_year", year_week_key("actual_goods_issue_date", year_mode=year_mode)
-    )
+    loads = _loads(load_costs, year_mode)
     lane_rows = tender_lanes.drop(
         "concat_week_year", "calendar_week_num", "calendar_year_num", "last_update_utc_tmstp"
     ).distinct()
@@ -90,13 +107,45 @@ def shipments(
     shared = [c for c in lane_rows.columns if c in loads.columns and c not in keys]
     lane_rows = lane_rows.withColumnsRenamed({c: f"lane_{c}" for c in shared})
     in_scope = join_totals(loads, lane_rows.select(*keys).distinct(), keys, "left_semi").distinct()
-    stops = (
-        locations.drop("origin_zone_ship_from_code", "loc_id", "loc_name")
-        .withColumnRenamed("postal_code", "final_stop_postal_code")
-        .distinct()
+    found = _with_stops(in_scope.join(lane_rows, keys, "inner"), locations, repeat_stops)
+    return found.withColumn("last_update_utc_tmstp", F.current_timestamp())
+
+
+def shipments_of_week(
+    load_costs: DataFrame,
+    tender_lanes: DataFrame,
+    locations: DataFrame,
+    *,
+    year_mode: str = "calendar",
+    repeat_stops: bool = False,
+) -> DataFrame:
+    """Loads of the weeks in ``tender_lanes`` with the number and accepted tenders of those lanes.
+
+    What ``shipments(match_on=())`` gives when it is counted per load, without its loads x lanes
+    rows: the lanes are folded to one row per week before they are joined.
+    """
+    week = year_week_key("week_begin_date", year_mode=year_mode)
+    rows = tender_lanes.drop(
+        "concat_week_year", "calendar_week_num", "calendar_year_num", "last_update_utc_tmstp"
+    ).distinct()
+    weeks = rows.groupBy(week.alias("concat_week_year")).agg(
+        F.count(F.lit(1)).alias("lane_cnt"), F.sum("accept_cnt").alias("lane_accept_cnt")
     )
-    return (
-        in_scope.join(lane_rows, keys, "inner")
-        .join(stops, "final_stop_postal_code", "left")
-        .withColumn("last_update_utc_tmstp", F.current_timestamp())
+    loads = join_totals(_loads(load_costs, year_mode).distinct(), weeks, ["concat_week_year"], "inner")
+    return _with_stops(loads, locations, repeat_stops)
+
+
+def _loads(load_costs: DataFrame, year_mode: str) -> DataFrame:
+    loads = load_costs.withColumn("load_id", normalize_key("load_id", mode="one"))
+    return loads.drop(*NOT_IN_SHIPMENTS).withColumn(
+        "concat_week_year", year_week_key("actual_goods_issue_date", year_mode=year_mode)
     )
+
+
+def _with_stops(loads: DataFrame, locations: DataFrame, repeat_stops: bool) -> DataFrame:
+    stops = locations.drop("origin_zone_ship_from_code", "loc_id", "loc_name")
+    if repeat_stops:
+        stops = stops.withColumnRenamed("postal_code", "final_stop_postal_code").distinct()
+        return loads.join(stops, "final_stop_postal_code", "left")
+    names = [c for c in stops.columns if c != "postal_code"]
+    return lookup(loads, stops, {"final_stop_postal_code": "postal_code"}, names)

@@ -2,7 +2,8 @@
 
 Each frame is one SELECT in the common subset of Spark SQL and DuckDB, with the table names in
 braces: Spark reads it through ``spark.sql`` with frames as arguments, the oracle inlines it as a
-common table expression.  Every frame is derived from whole tables.
+common table expression.  Every frame is derived from whole tables: rows that are to meet nothing
+keep their place and get a key that no other frame has.
 
 Stand-ins: an order is a load, a line item an event or delivery item, the supplier's nation the
 origin, the customer's nation the destination, the supplier the carrier, the part's brand the
@@ -113,34 +114,42 @@ SELECT
   {_week('l.l_shipdate')} AS ship_week_num,
   c.c_mktsegment AS customer_desc,
   cr.r_name AS country_to_code,
+  'Z' || cast(cn.n_nationkey AS STRING) AS dest_zone_code,
+  CASE c.c_mktsegment WHEN 'MACHINERY' THEN 'Plant' ELSE 'Trade' END AS frt_type_desc,
   cast(l.l_linenumber - 2 AS STRING) AS load_builder_prty_val
 {_items('order', 'customer', 'supplier')}
 """
 
 ORIGIN_UNITS = """
-SELECT cast(s_suppkey AS STRING) AS origin_id, n_name AS parent_loc_code,
-       'U' || cast(n_regionkey AS STRING) AS gbu_code
-FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_acctbal > 1000
+SELECT CASE WHEN s_acctbal > 1000 THEN cast(s_suppkey AS STRING) ELSE 'none' END AS origin_id,
+       n_name AS parent_loc_code, 'U' || cast(n_regionkey AS STRING) AS gbu_code
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 UNION ALL
-SELECT cast(s_suppkey AS STRING), n_name, 'A' || cast(n_regionkey AS STRING)
-FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_acctbal > 2000
+SELECT CASE WHEN s_acctbal > 2000 THEN cast(s_suppkey AS STRING) ELSE 'none' END,
+       n_name, 'A' || cast(n_regionkey AS STRING)
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
 DESTINATION_CHANNELS = """
-SELECT DISTINCT c_mktsegment AS dest_sold_to_name, 'Group ' || c_mktsegment AS customer_name,
-       'Channel ' || substr(c_mktsegment, 1, 1) AS channel_name
-FROM {customer} WHERE c_mktsegment <> 'FURNITURE'
+SELECT DISTINCT CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment ELSE 'none' END
+         AS dest_sold_to_name,
+       'Group ' || c_mktsegment AS customer_name,
+       'Channel ' || substr(c_mktsegment, 1, 1) || cast(c_nationkey AS STRING) AS channel_name
+FROM {customer}
 """
 
 SHIP_TO_FLAGS = """
-SELECT cast(c_custkey AS STRING) AS ship_to_num,
+SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN cast(c_custkey AS STRING) ELSE 'none' END
+         AS ship_to_num,
        CASE WHEN c_acctbal < 0 THEN 'N' ELSE 'Y' END AS ship_to_flag
-FROM {customer} WHERE c_mktsegment <> 'BUILDING'
+FROM {customer}
 """
 
 ON_TIME_REASONS = """
-SELECT DISTINCT o_orderpriority AS definition_name, 'Cause ' || o_orderpriority AS cause_desc
-FROM {orders} WHERE o_orderpriority <> '5-LOW'
+SELECT DISTINCT CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'none' END
+         AS definition_name,
+       'Cause ' || o_orderpriority AS cause_desc
+FROM {orders}
 """
 
 FREIGHT_STATS = f"""
@@ -199,7 +208,8 @@ SELECT '0' || {_LOAD} AS load_id,
 """
 
 TRUCK_REPORT = f"""
-SELECT {_ORDER} AS follow_on_doc_num,
+SELECT CASE WHEN l.l_linestatus = 'O' THEN {_ORDER} ELSE 'none-' || {_ORDER} END
+    AS follow_on_doc_num,
   cast(l.l_suppkey AS STRING) AS leo_tour_id,
   {_ymd('l.l_shipdate')} AS release_date,
   {_two('l.l_linenumber')} || '0000' AS release_datetm,
@@ -210,23 +220,26 @@ SELECT {_ORDER} AS follow_on_doc_num,
   cast(cast(l.l_quantity AS BIGINT) AS STRING) AS total_gross_weight_qty,
   cast(p.p_size AS STRING) AS total_gross_vol_qty
 {_items('supplier', 'part')}
-WHERE l.l_linestatus = 'O'
 """
 
 VEHICLES = """
-SELECT 'T' || cast(r_regionkey AS STRING) AS vehicle_trans_medium_code,
+SELECT CASE WHEN r_name <> 'ASIA' THEN 'T' || cast(r_regionkey AS STRING) ELSE 'none' END
+    AS vehicle_trans_medium_code,
   r_name AS vehicle_type_code,
   cast(1000 + r_regionkey AS DOUBLE) AS total_weight_qty,
   cast(10 + r_regionkey AS DOUBLE) AS vehicle_inner_length_val,
   cast(2 AS DOUBLE) AS vehicle_inner_width_val,
   cast(3 AS DOUBLE) AS vehicle_inner_height_val
-FROM {region} WHERE r_name <> 'ASIA'
+FROM {region}
 """
 
 ORDER_LINKAGE = f"""
 SELECT {_ORDER} AS sap_order_num,
   '0' || {_LOAD} AS transport_num,
-  l.l_shipdate AS load_tmstp
+  cast(l.l_linenumber AS STRING) AS linkage_item_num,
+  CASE WHEN l.l_discount > 0.05 THEN 'A' ELSE 'B' END AS linkage_kind_code,
+  l.l_shipdate AS load_tmstp,
+  'file ' || cast(l.l_linenumber AS STRING) AS load_from_file_name
 FROM {{lineitem}} l
 """
 
@@ -273,23 +286,28 @@ FROM {customer}
 """
 
 TRADE_CHANNELS = """
-SELECT 'T' || cast(n_nationkey AS STRING) AS trade_chanl_id, 'Channel ' || n_name AS trade_chanl_desc
-FROM {nation} WHERE n_regionkey <> 2
+SELECT CASE WHEN n_regionkey <> 2 THEN 'T' || cast(n_nationkey AS STRING) ELSE 'none' END
+    AS trade_chanl_id,
+  'Channel ' || n_name AS trade_chanl_desc
+FROM {nation}
 """
 
 CUSTOMER_FLAGS = """
 SELECT DISTINCT c_mktsegment AS customer_lvl3_desc,
-  CASE WHEN c_mktsegment = 'BUILDING' THEN 'Y' ELSE 'N' END AS sambc_flag
+  CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey > 9 THEN 'Y' ELSE 'N' END AS sambc_flag
 FROM {customer}
 """
 
 VALUE_CATEGORIES = """
-SELECT DISTINCT p_type AS tdcval_code, 'Category ' || substr(p_type, 1, 1) AS category
-FROM {part} WHERE p_type <> 'SMALL'
+SELECT DISTINCT CASE WHEN p_type <> 'SMALL' THEN p_type ELSE 'none' END AS tdcval_code,
+  'Category ' || substr(p_type, 1, 1) AS category
+FROM {part}
 """
 
 ORIGIN_NAMES = """
-SELECT n_name AS origin_sf_dict, 'Site ' || n_name AS site_name FROM {nation} WHERE n_regionkey <> 3
+SELECT CASE WHEN n_regionkey <> 3 THEN n_name ELSE 'none' END AS origin_sf_dict,
+  'Site ' || n_name AS site_name
+FROM {nation}
 """
 
 TENDER_SUMMARY = """
@@ -306,9 +324,10 @@ SELECT cast(l.l_shipdate AS DATE) AS week_begin_date,
 
 LOCATIONS = """
 SELECT cast(n_nationkey AS STRING) AS loc_id, n_name AS loc_name,
-  cast(n_nationkey AS STRING) AS postal_code, n_name AS origin_zone_ship_from_code,
-  'Stop ' || n_name AS stop_name
-FROM {nation} WHERE n_regionkey <> 1
+  CASE WHEN n_regionkey <> 1 THEN cast(n_nationkey - n_nationkey % 2 AS STRING) ELSE 'none' END
+    AS postal_code,
+  n_name AS origin_zone_ship_from_code, 'Stop ' || n_name AS stop_name
+FROM {nation}
 """
 
 # Scorecard inputs: carriers by supplier region, services by return flag.
@@ -317,7 +336,7 @@ _ORIGIN = "CASE sn.n_nationkey WHEN 3 THEN 'NULL' ELSE 'O' || cast(sn.n_nationke
 
 TENDER_WEEKLY = f"""
 SELECT {_week('l.l_shipdate')} AS calendar_year_week_tac,
-  {_CARRIER} AS carrier_id,
+  CASE WHEN l.l_linestatus = 'O' THEN {_CARRIER} ELSE '9' || {_CARRIER} END AS carrier_id,
   l.l_returnflag AS tms_service_code,
   {_ORIGIN} AS origin_location_id,
   sr.r_name AS origin_zone_ship_from_code,
@@ -327,7 +346,6 @@ SELECT {_week('l.l_shipdate')} AS calendar_year_week_tac,
   cast(sum(CASE WHEN l.l_tax > 0.02 THEN 1 ELSE 0 END) AS BIGINT) AS accept_cnt,
   max(l.l_extendedprice) AS linehaul_cost_amt
 {_items('order', 'customer', 'supplier')}
-WHERE l.l_linestatus = 'O'
 GROUP BY 1, 2, 3, 4, 5, 6
 """
 
@@ -351,11 +369,10 @@ SELECT sr.r_name AS parent_loc_code,
   cast(CASE WHEN l.l_shipdate <= o.o_orderdate THEN 1 ELSE 0 END AS BIGINT) AS shpmt_on_time_cnt,
   cast(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS measrbl_shpmt_cnt
 {_items('order', 'customer', 'supplier')}
-WHERE l.l_linestatus = 'F'
 """
 
 LOADING_VIEW = f"""
-SELECT {_CARRIER} AS carr_num,
+SELECT CASE WHEN o.o_orderstatus <> 'P' THEN {_CARRIER} ELSE 'none' END AS carr_num,
   cr.r_name AS dest_ship_from_code,
   {_ORIGIN} AS ship_point_code,
   l.l_returnflag AS actual_service_tms_code,
@@ -368,13 +385,12 @@ SELECT {_CARRIER} AS carr_num,
   cast(CASE WHEN l.l_tax = 0.04 THEN 1 ELSE 0 END AS BIGINT) AS others_failure_cnt,
   l.l_linenumber AS tolrnc_sot_val
 {_items('order', 'customer', 'supplier')}
-WHERE o.o_orderstatus <> 'P'
 """
 
 FILL_VIEW = f"""
 SELECT {_ORIGIN} AS ship_point_code,
   cr.r_name AS dest_ship_from_code,
-  '000' || {_CARRIER} AS carr_id,
+  CASE WHEN o.o_orderstatus = 'F' THEN '000' ELSE '0007' END || {_CARRIER} AS carr_id,
   l.l_returnflag AS tms_service_code,
   {_dmy('l.l_shipdate')} AS shpmt_start_date,
   l.l_quantity AS plan_gross_weight_qty, l.l_quantity + 1 AS plan_net_weight_qty,
@@ -385,13 +401,12 @@ SELECT {_ORIGIN} AS ship_point_code,
   cast(100 AS DOUBLE) AS max_weight_qty, cast(120 AS DOUBLE) AS max_vol_trans_mgmt_sys_qty,
   cast(l.l_linenumber AS DOUBLE) AS floor_position_qty,
   cast(26 AS DOUBLE) AS max_pallet_tms_trans_type_qty,
-  l.l_quantity AS su_per_load_cnt,
-  l.l_quantity AS cut_impact_rate, l.l_quantity AS drf_last_truck_amt,
-  l.l_quantity AS glb_segment_impact_cat_ld_amt, l.l_quantity AS hopade_amt,
-  l.l_quantity AS max_orders_incrmtl_amt, l.l_quantity AS max_orders_non_drp_amt,
-  l.l_quantity AS total_vf_optny_amt
+  l.l_quantity + 4 AS su_per_load_cnt,
+  l.l_quantity + 5 AS cut_impact_rate, l.l_quantity + 6 AS drf_last_truck_amt,
+  l.l_quantity + 7 AS glb_segment_impact_cat_ld_amt, l.l_quantity + 8 AS hopade_amt,
+  l.l_quantity + 9 AS max_orders_incrmtl_amt, l.l_quantity + 10 AS max_orders_non_drp_amt,
+  l.l_quantity + 11 AS total_vf_optny_amt
 {_items('order', 'customer', 'supplier', 'part')}
-WHERE o.o_orderstatus = 'F'
 """
 
 FRAMES = {

@@ -286,8 +286,9 @@ facts AS (
   SELECT c_custkey, n_name AS nation, n_regionkey AS area
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
 ref AS (
-  SELECT n_name AS nation, n_regionkey AS area, s_name AS supplier
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 8000),
+  SELECT CASE WHEN s_acctbal > 8000 THEN n_name ELSE 'none' END AS nation,
+    CASE WHEN s_acctbal > 8000 THEN n_regionkey ELSE -1 END AS area, s_name AS supplier
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 rest AS (
   SELECT nation, area, max(c_custkey) AS c_custkey FROM facts f
   WHERE NOT EXISTS (SELECT 1 FROM ref WHERE ref.nation = f.nation) GROUP BY 1, 2),
@@ -392,12 +393,16 @@ releases AS (
     PARTITION BY follow_on_doc_num ORDER BY release_dttm DESC, leo_tour_id DESC,
       release_date DESC, release_datetm DESC, truck_type_code DESC, pallet_num_qty DESC) = 1),
 linked AS (
-  SELECT sap_order_num AS order_num, right(transport_num, 9) AS load_id,
+  SELECT sap_order_num AS order_num, right(transport_num, 9) AS load_id, transport_num,
+    linkage_item_num, linkage_kind_code,
     sap_order_num AS doc_flow_order_num, transport_num AS doc_flow_load_id
   FROM order_linkage QUALIFY row_number() OVER (
-    PARTITION BY sap_order_num, transport_num ORDER BY load_tmstp DESC) = 1),
+    PARTITION BY sap_order_num, transport_num ORDER BY load_tmstp DESC, linkage_item_num DESC,
+      linkage_kind_code DESC) = 1),
 chain AS (
-  SELECT linked.*, releases.*, vehicle_type_code AS truck_vehicle_type_code,
+  SELECT linked.*, releases.*, vehicle_trans_medium_code, total_weight_qty, vehicle_inner_length_val,
+    vehicle_inner_width_val, vehicle_inner_height_val,
+    vehicle_type_code AS truck_vehicle_type_code, vehicle_type_code AS vehicle_type2_code,
     total_weight_qty AS vehicle_true_max_weight_qty,
     vehicle_inner_length_val * vehicle_inner_width_val * vehicle_inner_height_val
       AS vehicle_true_max_vol_qty
@@ -409,12 +414,7 @@ _TRUCK_SOURCES = cte("truck_report", "vehicles", "order_linkage")
 
 ORACLE["fill_truck_releases"] = f"WITH {_TRUCK_SOURCES}, {_TRUCKS} SELECT * FROM releases"
 ORACLE["fill_order_loads"] = f"WITH {_TRUCK_SOURCES}, {_TRUCKS} SELECT * FROM linked"
-ORACLE["fill_truck_chain"] = f"""
-WITH {_TRUCK_SOURCES}, {_TRUCKS}
-SELECT load_id, order_num, truck_type_code, truck_vehicle_type_code, vehicle_true_max_weight_qty,
-  vehicle_true_max_vol_qty, pallet_num_qty
-FROM chain
-"""
+ORACLE["fill_truck_chain"] = f"WITH {_TRUCK_SOURCES}, {_TRUCKS} SELECT * FROM chain"
 
 _ITEMS = """
 items AS (
@@ -481,15 +481,18 @@ ORACLE["fill_load_priority"] = f"WITH {cte('on_time_events')}, {_PRIORITY} SELEC
 
 _HIERARCHY = """
 levels AS (
-  SELECT ship_to_party_id, max(customer_lvl1_desc) AS customer_lvl1_desc,
-    max(customer_lvl3_desc) AS customer_lvl3_desc, max(customer_lvl12_code) AS customer_lvl12_code
+  SELECT ship_to_party_id, max(customer_lvl1_code) AS customer_lvl1_code,
+    max(customer_lvl1_desc) AS customer_lvl1_desc, max(customer_lvl3_code) AS customer_lvl3_code,
+    max(customer_lvl3_desc) AS customer_lvl3_desc, max(customer_lvl5_code) AS customer_lvl5_code,
+    max(customer_lvl5_desc) AS customer_lvl5_desc, max(customer_lvl12_code) AS customer_lvl12_code,
+    max(customer_lvl12_desc) AS customer_lvl12_desc
   FROM load_costs GROUP BY 1),
 hierarchy AS (
   SELECT l.*, t.trade_chanl_id, t.trade_chanl_desc, f.sambc_flag
   FROM levels l
   LEFT JOIN (customers JOIN trade_channels USING (trade_chanl_id)) t
     ON l.customer_lvl12_code = t.cust_id
-  LEFT JOIN customer_flags f ON l.customer_lvl3_desc = f.customer_lvl3_desc)
+  LEFT JOIN (SELECT customer_lvl3_desc, max(sambc_flag) AS sambc_flag FROM customer_flags GROUP BY 1) f ON l.customer_lvl3_desc = f.customer_lvl3_desc)
 """
 
 _HIERARCHY_SOURCES = cte("load_costs", "customers", "trade_channels", "customer_flags")
@@ -515,6 +518,39 @@ _KEY_LIST = (
 )
 _ALL_KEYS_KNOWN = " AND ".join(f"{k.strip()} IS NOT NULL" for k in _KEY_LIST.split(","))
 
+# event columns that come out under their own name
+_ON_TIME_ATTRIBUTES = ", ".join(
+    f"max({c}) AS {c}"
+    for c in [
+        "actual_load_end_date",
+        "final_lrdt_date",
+        "on_time_src_desc",
+        "first_dlvry_appt_date",
+        "first_dlvry_appt_datetm",
+        "last_dlvry_appt_date",
+        "last_dlvry_appt_datetm",
+        "request_dlvry_to_date",
+        "request_dlvry_to_datetm",
+        "orig_request_dlvry_to_date",
+        "orig_request_dlvry_to_datetm",
+        "actual_arrival_datetm",
+        "schedule_date",
+        "tender_date",
+        "dest_city_name",
+        "dest_state_code",
+        "dest_postal_code",
+        "ship_point_code",
+        "carr_num",
+        "carr_desc",
+        "dest_ship_from_code",
+        "ship_week_num",
+        "customer_desc",
+        "country_to_code",
+        "dest_zone_code",
+        "frt_type_desc",
+    ]
+) + ", max(actual_shpmt_end_date) AS actual_arrival_date, max(ship_point_desc) AS origin_zone_ship_from_code"
+
 _ON_TIME = f"""
 {_PROMISE},
 ev AS (
@@ -557,13 +593,20 @@ ord AS (
     max(true_frt_type_desc) AS freight_type_val,
     max(sd_doc_item_overall_process_status_val) AS overall_status_val,
     max(profl_method_code) AS profl_method_code, max(lane_name) AS lane_name,
+    {_ON_TIME_ATTRIBUTES},
+    max(coalesce(lot_delay_reason_code_desc, '')) AS lot_delay_code_desc,
+    max(split_part(carr_desc, '#', 1)) AS parent_carr_name,
+    max(CASE WHEN change_type_code IS NULL THEN 'Y' ELSE 'N' END) AS exception_flag,
+    max(CASE WHEN actual_service_tms_code IS NULL THEN 'Y' ELSE 'N' END) AS freight_auction_flag,
+    max(CASE WHEN carr_num IS NOT NULL THEN 'Y' ELSE 'N' END) AS primary_carr_flag,
     max(CASE WHEN length(lot_delay_reason_code) > 0 THEN 0 ELSE 1 END) AS otd_cnt,
     max(CASE WHEN length(lot_delay_reason_code) > 0 THEN 1 ELSE 0 END) AS tat_late_counter_val,
     max(coalesce(nullif(lot_delay_reason_code_desc, ''), 'No delay')) AS lot_delay_bucket_val,
-    max(unit_code) AS unit_code, max(cause_desc) AS aot_bucket_val, max(customer_desc) AS customer_desc
+    max(unit_code) AS unit_code, max(cause_desc) AS aot_bucket_val
   FROM ev
   LEFT JOIN unit ON ev.ship_point_code = unit.origin_id AND ev.origin_zone_code = unit.parent_loc_code
-  LEFT JOIN on_time_reasons ON ev.on_time_src_desc = definition_name
+  LEFT JOIN (SELECT definition_name, max(cause_desc) AS cause_desc FROM on_time_reasons GROUP BY 1)
+    ON ev.on_time_src_desc = definition_name
   WHERE load_id IS NOT NULL AND origin_zone_code <> ''
   GROUP BY ALL),
 measured AS (
@@ -574,13 +617,18 @@ measured AS (
     CASE WHEN measrbl_shpmt_cnt = 1 THEN ord.load_id::BIGINT END AS iot_measrbl_shpmt_load_id,
     CASE WHEN measrbl_shpmt_cnt = 1 THEN
       CASE WHEN load_on_time = 1 THEN 100.0 ELSE 0.0 END END::DOUBLE AS iot_on_time_pct,
+    iot_on_time_pct AS iot_on_time2_pct,
+    ord.otd_cnt::DOUBLE / nullif(ord.otd_cnt + ord.tat_late_counter_val, 0) AS lot_rate,
+    CASE WHEN ord.tat_late_counter_val > 0 THEN 'N' ELSE 'Y' END AS lot_flag,
     cdot_ontime_cnt, distance_per_load_num_qty, coalesce(unit_code, 'OTHER') AS gbu_code,
     coalesce(ch.customer_name, ord.dest_sold_to_name) AS customer_name,
     coalesce(ch.channel_name, 'OTHER') AS channel_name, ship_to_flag
   FROM ord JOIN loads USING (load_id) LEFT JOIN ratio USING (load_id)
   LEFT JOIN distance USING (load_id)
-  LEFT JOIN destination_channels ch ON ord.dest_sold_to_name = ch.dest_sold_to_name
-  LEFT JOIN ship_to_flags ON ord.ship_to_party_code = ship_to_num),
+  LEFT JOIN (SELECT dest_sold_to_name, max(customer_name) AS customer_name,
+      max(channel_name) AS channel_name FROM destination_channels GROUP BY 1) ch ON ord.dest_sold_to_name = ch.dest_sold_to_name
+  LEFT JOIN (SELECT ship_to_num, max(ship_to_flag) AS ship_to_flag FROM ship_to_flags GROUP BY 1)
+    ON ord.ship_to_party_code = ship_to_num),
 rated AS (
   SELECT m.*, coalesce(shpmt_on_time_cnt, 0) * 100.0::DOUBLE / measrbl_shpmt_cnt AS on_time_pct,
     largest_order_num, {_ALL_KEYS_KNOWN.replace('load_id', 'm.load_id')} AS keys_known,
@@ -588,7 +636,7 @@ rated AS (
   FROM measured m LEFT JOIN promise p
     ON m.load_id = p.load_id AND m.profl_method_code = p.profl_method_code),
 on_time_mart AS (
-  SELECT * EXCLUDE (unit_code, customer_desc, keys_known, promise_result, largest_order_num),
+  SELECT * EXCLUDE (unit_code, keys_known, promise_result, largest_order_num),
     CASE WHEN keys_known THEN promise_result END AS load_lvl_on_time_pct,
     CASE WHEN keys_known AND customer_desc IN ('BUILDING', 'MACHINERY')
       THEN promise_result::DOUBLE ELSE on_time_pct END AS actual_on_time_pct
@@ -600,14 +648,16 @@ ORACLE["mart_on_time"] = f"WITH {_ON_TIME_SOURCES}, {_ON_TIME} SELECT * FROM on_
 ORACLE["mart_on_time_largest_order"] = f"""
 WITH {_ON_TIME_SOURCES}, {_ON_TIME},
 last_row AS (
-  SELECT load_id, ship_to_party_code AS last_code FROM ev QUALIFY row_number() OVER (
-    PARTITION BY load_id ORDER BY stage DESC, event_datetm DESC, ship_to_party_code DESC) = 1)
-SELECT {_KEY_LIST}, last_code AS max_ship_to_party_code,
+  SELECT load_id, ship_to_party_code AS last_code, ship_to_party_desc AS last_desc
+  FROM ev QUALIFY row_number() OVER (PARTITION BY load_id
+    ORDER BY stage DESC, event_datetm DESC, ship_to_party_code DESC, ship_to_party_desc DESC) = 1)
+SELECT * EXCLUDE (unit_code, keys_known, promise_result, largest_order_num, last_code, last_desc)
+    REPLACE (last_code AS max_ship_to_party_code, last_desc AS max_ship_to_party_desc),
   CASE WHEN keys_known AND order_num = largest_order_num THEN promise_result END
     AS load_lvl_on_time_pct,
-  CASE WHEN keys_known AND order_num = largest_order_num
-      AND customer_desc IN ('BUILDING', 'MACHINERY')
-    THEN promise_result::DOUBLE ELSE on_time_pct END AS actual_on_time_pct
+  CASE WHEN keys_known AND customer_desc IN ('BUILDING', 'MACHINERY')
+    THEN CASE WHEN order_num = largest_order_num THEN promise_result::DOUBLE END
+    ELSE on_time_pct END AS actual_on_time_pct
 FROM rated LEFT JOIN last_row USING (load_id)
 """
 
@@ -635,11 +685,12 @@ latest AS (
     try_strptime(final_lrdt_date, '%d/%m/%Y') AS ready
   FROM picked
   QUALIFY row_number() OVER (PARTITION BY load_id, change_type_code
-    ORDER BY event_datetm DESC, trnsp_stage_num DESC, lot_delay_reason_code DESC,
+    ORDER BY event_datetm DESC, child_shpmt_num DESC, trnsp_stage_num DESC, lot_delay_reason_code DESC,
       lot_delay_reason_code_desc DESC, actual_load_end_date DESC, final_lrdt_date DESC,
       order_num DESC) = 1)
-SELECT load_id, change_type_code, event_datetm, order_num, lot_delay_reason_code,
-  lot_delay_reason_code_desc, month(moment)::INTEGER AS ship_month, year(moment)::INTEGER AS ship_year,
+SELECT * EXCLUDE (moment, ended, ready)
+    RENAME (dest_zone_code AS dest_zone_val, frt_type_desc AS freight_type_val),
+  strftime(moment, '%b') AS ship_3lettermonth, month(moment)::INTEGER AS ship_month, year(moment)::INTEGER AS ship_year,
   strftime(moment, '%b') || ' ' || year(moment)::VARCHAR AS actual_ship_month_val,
   CASE WHEN ended <= ready THEN 1 ELSE 0 END AS lot_otd_cnt,
   CASE WHEN ended > ready THEN 1 ELSE 0 END AS lot_tat_late_counter_val,
@@ -681,19 +732,28 @@ loads AS (
 
 _TENDER_SOURCES = cte("tender_summary", "load_costs", "locations")
 
+_ONE_STOP = "(SELECT postal_code, max(stop_name) AS stop_name FROM locations GROUP BY 1)"
+
 ORACLE["mart_tender_shipments"] = f"""
 WITH {_TENDER_SOURCES}, {_TENDER_LANES}, {_TENDER_LOADS}
-SELECT load_id, forward_agent_id, concat_week_year, l.origin_zone_ship_from_code,
-  l.dest_ship_from_code, customer_desc, accept_cnt, final_stop_postal_code, stop_name
+SELECT * EXCLUDE (postal_code) REPLACE (
+    strftime(actual_goods_issue_date, '%Y-%m-%d') AS actual_goods_issue_date,
+    strftime(week_begin_date, '%Y-%m-%d') AS week_begin_date)
 FROM loads l JOIN tender_lanes t USING (concat_week_year, origin_zone_ship_from_code, dest_ship_from_code)
-LEFT JOIN locations ON final_stop_postal_code = postal_code
+LEFT JOIN {_ONE_STOP} ON final_stop_postal_code = postal_code
+"""
+
+ORACLE["mart_tender_shipments_repeated"] = f"""
+WITH {_TENDER_SOURCES}, {_TENDER_LANES}, {_TENDER_LOADS}
+SELECT load_id, concat_week_year, customer_desc, accept_cnt, final_stop_postal_code, stop_name
+FROM loads l JOIN tender_lanes t USING (concat_week_year, origin_zone_ship_from_code, dest_ship_from_code)
+LEFT JOIN (SELECT DISTINCT postal_code, stop_name FROM locations) ON final_stop_postal_code = postal_code
 """
 
 ORACLE["mart_tender_shipments_by_week"] = f"""
 WITH {_TENDER_SOURCES}, {_TENDER_LANES}, {_TENDER_LOADS}
 SELECT concat_week_year, load_id, count(*) AS rows, sum(accept_cnt)::BIGINT AS accepted
 FROM loads JOIN tender_lanes USING (concat_week_year)
-LEFT JOIN locations ON final_stop_postal_code = postal_code
 GROUP BY 1, 2
 """
 
@@ -771,8 +831,9 @@ prepared AS (
   LEFT JOIN awarded a ON t.load_id = a.load_id AND t.carr_id = a.carr_id
     AND c.tms_service_code = a.tms_service_code
   LEFT JOIN hierarchy h ON t.ship_to_party_id = h.ship_to_party_id
-  LEFT JOIN value_categories v ON t.tdcval_code = v.tdcval_code
-  WHERE load_gbu_id IS NOT NULL),
+  LEFT JOIN (SELECT tdcval_code, max(category) AS category FROM value_categories GROUP BY 1) v
+    ON t.tdcval_code = v.tdcval_code
+  ),
 lane AS (
   SELECT origin_zone_ship_from_code, dest_ship_from_code,
     sum(w) / nullif(sum(v), 0) AS load_density_rate,
@@ -908,7 +969,7 @@ fill_load AS (
     total_gross_vol_qty * load_material_vol_qty AS agg_gross_vol_qty,
     pw * load_material_weight_qty AS agg_net_weight_qty, pv * load_material_vol_qty AS agg_net_vol_qty
   FROM units_of_load u
-  JOIN material m ON u.load_id = m.load_id AND u.load_gbu_id = m.load_gbu_id
+  JOIN material m ON u.load_id = m.load_id AND u.load_gbu_id IS NOT DISTINCT FROM m.load_gbu_id
   JOIN gross g ON u.load_id = g.load_id JOIN positions p ON u.load_id = p.load_id
   LEFT JOIN cost_of_unit c ON u.load_id = c.load_id AND u.load_gbu_id = c.load_gbu_id)
 SELECT {_FILL_LOAD_COLUMNS} FROM fill_load
@@ -930,7 +991,8 @@ facts AS (
     ship_week_num AS week, max(ship_to_party_desc) AS ship_to_party_desc,
     max(dest_sold_to_name) AS dest_sold_to_name, max(actual_ship_date) AS actual_ship_date,
     max(freight_type_val) AS freight_type_val, max(cdot_ontime_cnt) AS cdot_ontime_cnt,
-    max(parent_carr_name) AS parent_carr_name, sum(shpmt_cnt)::BIGINT AS shpmt_cnt,
+    max(parent_carr_name) AS parent_carr_name, max(carr_desc) AS carr_desc,
+    sum(shpmt_cnt)::BIGINT AS shpmt_cnt,
     sum(shpmt_on_time_cnt)::BIGINT AS shpmt_on_time_cnt,
     sum(measrbl_shpmt_cnt)::BIGINT AS measrbl_shpmt_cnt
   FROM on_time_view GROUP BY 1, 2, 3, 4, 5, 6, 7, 8),
@@ -939,7 +1001,7 @@ per_origin AS (
     max(ship_to_party_desc) AS ship_to_party_desc, max(dest_sold_to_name) AS dest_sold_to_name,
     max(actual_ship_date) AS actual_ship_date, max(freight_type_val) AS freight_type_val,
     max(cdot_ontime_cnt) AS cdot_ontime_cnt, max(parent_carr_name) AS parent_carr_name,
-    sum(shpmt_cnt)::BIGINT AS shpmt_cnt, sum(shpmt_on_time_cnt)::BIGINT AS shpmt_on_time_cnt,
+    max(carr_desc) AS carr_desc, sum(shpmt_cnt)::BIGINT AS shpmt_cnt, sum(shpmt_on_time_cnt)::BIGINT AS shpmt_on_time_cnt,
     sum(measrbl_shpmt_cnt)::BIGINT AS measrbl_shpmt_cnt
   FROM facts f WHERE NOT EXISTS (SELECT 1 FROM tender t WHERE t.week = f.week
     AND t.carrier = f.carrier AND t.service = f.service AND t.origin = f.origin AND t.dest = f.dest)
@@ -949,19 +1011,20 @@ per_lane AS (
     max(ship_to_party_desc) AS ship_to_party_desc, max(dest_sold_to_name) AS dest_sold_to_name,
     max(actual_ship_date) AS actual_ship_date, max(freight_type_val) AS freight_type_val,
     max(cdot_ontime_cnt) AS cdot_ontime_cnt, max(parent_carr_name) AS parent_carr_name,
-    max(shpmt_cnt) AS shpmt_cnt, max(shpmt_on_time_cnt) AS shpmt_on_time_cnt,
-    max(measrbl_shpmt_cnt) AS measrbl_shpmt_cnt
+    max(carr_desc) AS carr_desc, {counts}(shpmt_cnt)::BIGINT AS shpmt_cnt,
+    {counts}(shpmt_on_time_cnt)::BIGINT AS shpmt_on_time_cnt,
+    {counts}(measrbl_shpmt_cnt)::BIGINT AS measrbl_shpmt_cnt
   FROM per_origin GROUP BY 1, 2, 3, 4, 5),
 first_tier AS (
   SELECT f.week, f.carrier, f.service, f.origin, f.origin AS monster, f.dest, f.parent_loc_code,
-    ship_to_party_desc, dest_sold_to_name, actual_ship_date, freight_type_val, parent_carr_name,
+    zone, carr_desc, ship_to_party_desc, dest_sold_to_name, actual_ship_date, freight_type_val, parent_carr_name,
     cdot_ontime_cnt, shpmt_cnt, shpmt_on_time_cnt, measrbl_shpmt_cnt, lane, long_carrier, accept_cnt,
     total_cnt, linehaul_cost_amt, CASE WHEN t.week IS NULL THEN 0 ELSE 1 END AS match_tier
   FROM facts f LEFT JOIN tender t ON t.week = f.week AND t.carrier = f.carrier
     AND t.service = f.service AND t.origin = f.origin AND t.dest = f.dest),
 second_tier AS (
   SELECT f.week, f.carrier, f.service, t.origin, f.monster, f.dest, f.parent_loc_code,
-    ship_to_party_desc, dest_sold_to_name, actual_ship_date, freight_type_val, parent_carr_name,
+    f.parent_loc_code AS zone, carr_desc, ship_to_party_desc, dest_sold_to_name, actual_ship_date, freight_type_val, parent_carr_name,
     cdot_ontime_cnt, shpmt_cnt, shpmt_on_time_cnt, measrbl_shpmt_cnt, lane, long_carrier, accept_cnt,
     total_cnt, linehaul_cost_amt, CASE WHEN t.week IS NULL THEN 0 ELSE 2 END AS match_tier
   FROM per_lane f LEFT JOIN tender t ON t.week = f.week AND t.carrier = f.carrier
@@ -971,29 +1034,27 @@ load_facts AS (
     actual_service_tms_code AS service, ship_week_num AS week,
     sum(lot_otd_cnt)::BIGINT AS lot_otd_count,
     sum(lot_tat_late_counter_val)::BIGINT AS lot_tat_late_counter_val,
-    sum(carr_failure_cnt)::BIGINT AS carr_failure_cnt, max(tolrnc_sot_val) AS tolrnc_sot_val
+    sum(lot_cust_failure_cnt)::BIGINT AS lot_customer_failure_cnt,
+    sum(shipper_failure_cnt)::BIGINT AS shipper_failure_cnt,
+    sum(carr_failure_cnt)::BIGINT AS carr_failure_cnt,
+    sum(others_failure_cnt)::BIGINT AS others_failure_cnt, max(tolrnc_sot_val) AS tolrnc_sot_val
   FROM loading_view GROUP BY 1, 2, 3, 4, 5),
 fill_days AS (
   SELECT *, strptime(shpmt_start_date, '%d/%m/%Y') AS day FROM fill_view),
 fill_facts AS (
   SELECT ship_point_code AS monster, dest_ship_from_code AS dest, ltrim(carr_id, '0') AS carrier,
     tms_service_code AS service, {week} AS week,
-    sum(plan_gross_weight_qty) AS plan_gross_weight_qty,
-    sum(shipped_net_vol_qty) AS shipped_net_vol_qty,
-    sum(plan_gross_weight_qty) / count(plan_gross_weight_qty) AS avg_plan_gross_weight_qty,
-    sum(floor_position_qty) / count(floor_position_qty) AS floor_position_qty,
-    sum(total_vf_optny_amt) AS total_vf_optny_amt
+    {fill}
   FROM fill_days GROUP BY 1, 2, 3, 4, 5),
 both_tiers AS (
   SELECT * FROM first_tier WHERE {first} UNION ALL SELECT * FROM second_tier)
 SELECT b.week AS week_year_val, b.carrier AS forward_agent_id, b.service AS service_tms_code,
   b.origin AS origin_code, b.monster AS monster_origin_code, b.dest AS dest_ship_from_code,
-  match_tier, parent_loc_code, ship_to_party_desc, dest_sold_to_name, actual_ship_date,
+  match_tier, parent_loc_code, zone AS origin_zone_ship_from_code, carr_desc, ship_to_party_desc, dest_sold_to_name, actual_ship_date,
   freight_type_val, parent_carr_name, cdot_ontime_cnt, shpmt_cnt, shpmt_on_time_cnt,
   measrbl_shpmt_cnt, lane AS lane_name, long_carrier AS long_forward_agent_id, accept_cnt,
-  total_cnt, linehaul_cost_amt, lot_otd_count, lot_tat_late_counter_val, carr_failure_cnt,
-  tolrnc_sot_val, plan_gross_weight_qty, shipped_net_vol_qty, avg_plan_gross_weight_qty,
-  floor_position_qty, total_vf_optny_amt
+  total_cnt, linehaul_cost_amt, l.* EXCLUDE (monster, dest, carrier, service, week),
+  v.* EXCLUDE (monster, dest, carrier, service, week)
 FROM both_tiers b
 LEFT JOIN load_facts l ON b.monster = l.monster AND b.dest = l.dest AND b.carrier = l.carrier
   AND b.service = l.service AND b.week = l.week
@@ -1005,9 +1066,28 @@ WHERE b.monster <> 'NULL'
 _PADDED = "lpad(weekofyear(day)::VARCHAR, 2, '0') || '/' || year(day)::VARCHAR"
 _UNPADDED = "weekofyear(day)::VARCHAR || '/' || year(day)::VARCHAR"
 
-ORACLE["mart_scorecard"] = (
-    f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(week=_PADDED, first="match_tier = 1")
+_BOTH = ["max_weight_qty", "max_vol_trans_mgmt_sys_qty"] + [
+    f"{k}_{b}_{m}_qty" for k in ("plan", "shipped") for b in ("gross", "net") for m in ("weight", "vol")
+]
+_SUMMED = [
+    "su_per_load_cnt",
+    "cut_impact_rate",
+    "drf_last_truck_amt",
+    "glb_segment_impact_cat_ld_amt",
+    "hopade_amt",
+    "max_orders_incrmtl_amt",
+    "max_orders_non_drp_amt",
+    "total_vf_optny_amt",
+]
+_FILL = ", ".join(
+    [f"sum({c}) AS {c}" for c in _BOTH + _SUMMED]
+    + [f"sum({c}) / count({c}) AS avg_{c}" for c in _BOTH]
+    + [f"sum({c}) / count({c}) AS {c}" for c in ("floor_position_qty", "max_pallet_tms_trans_type_qty")]
+)
+
+ORACLE["mart_scorecard"] = f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(
+    week=_PADDED, first="match_tier = 1", counts="sum", fill=_FILL
 )
-ORACLE["mart_scorecard_with_duplicates"] = (
-    f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(week=_UNPADDED, first="TRUE")
+ORACLE["mart_scorecard_with_duplicates"] = f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(
+    week=_UNPADDED, first="TRUE", counts="max", fill=_FILL
 )

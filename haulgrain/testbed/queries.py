@@ -408,11 +408,10 @@ def _fallback(spark, sf, keep_duplicates):
     ).select("c_custkey", F.col("n_name").alias("nation"), F.col("n_regionkey").alias("area"))
     ref = (
         table(spark, sf, "supplier")
-        .filter("s_acctbal > 8000")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("n_name").alias("nation"),
-            F.col("n_regionkey").alias("area"),
+            F.when(F.col("s_acctbal") > 8000, F.col("n_name")).otherwise("none").alias("nation"),
+            F.when(F.col("s_acctbal") > 8000, F.col("n_regionkey")).otherwise(-1).alias("area"),
             F.col("s_name").alias("supplier"),
         )
     )
@@ -453,7 +452,8 @@ def entity_override(spark, sf):
     by_list = match.override_for(
         customers, "c_mktsegment", OVERRIDE_CUSTOMERS, "by_list", "number", "c_acctbal"
     )
-    listed = table(spark, sf, "customer").filter("c_mktsegment like 'B%'").select("c_mktsegment")
+    segment = F.when(F.col("c_mktsegment").startswith("B"), F.col("c_mktsegment")).otherwise("none")
+    listed = table(spark, sf, "customer").select(segment.alias("c_mktsegment"))
     return match.override_for(by_list, "c_mktsegment", listed, "by_table", "number", "c_acctbal")
 
 
@@ -526,16 +526,7 @@ def fill_order_loads(spark, sf):
 
 @query
 def fill_truck_chain(spark, sf):
-    chain = fill_hub.trucks(*frames(spark, sf, "order_linkage", "truck_report", "vehicles"))
-    return chain.select(
-        "load_id",
-        "order_num",
-        "truck_type_code",
-        "truck_vehicle_type_code",
-        "vehicle_true_max_weight_qty",
-        "vehicle_true_max_vol_qty",
-        "pallet_num_qty",
-    )
+    return fill_hub.trucks(*frames(spark, sf, "order_linkage", "truck_report", "vehicles"))
 
 
 @query
@@ -566,52 +557,11 @@ def fill_load_priority(spark, sf):
 @query
 def fill_ship_to_hierarchy(spark, sf):
     sources = ["load_costs", "customers", "trade_channels", "customer_flags"]
-    flat = fill_hub.ship_to_hierarchy(*frames(spark, sf, *sources))
-    return flat.select(
-        "ship_to_party_id",
-        "customer_lvl1_desc",
-        "customer_lvl3_desc",
-        "customer_lvl12_code",
-        "trade_chanl_id",
-        "trade_chanl_desc",
-        "sambc_flag",
-    )
+    return fill_hub.ship_to_hierarchy(*frames(spark, sf, *sources))
 
 
 # --- plans ----------------------------------------------------------------------------------
 
-ON_TIME_COLUMNS = [
-    *on_time.KEYS,
-    "parent_loc_code",
-    "service_tms_code",
-    "origin_code",
-    "freight_type_val",
-    "overall_status_val",
-    "profl_method_code",
-    "lane_name",
-    "shpmt_cnt",
-    "shpmt_on_time_cnt",
-    "measrbl_shpmt_cnt",
-    "on_time_pct",
-    "iot_shpmt_on_time_load_id",
-    "iot_measrbl_shpmt_load_id",
-    "iot_on_time_pct",
-    "otd_cnt",
-    "tat_late_counter_val",
-    "lot_delay_bucket_val",
-    "gbu_code",
-    "customer_name",
-    "channel_name",
-    "ship_to_flag",
-    "aot_bucket_val",
-    "cdot_ontime_cnt",
-    "drop_live_ind_desc",
-    "max_ship_to_party_code",
-    "max_ship_to_party_desc",
-    "load_lvl_on_time_pct",
-    "actual_on_time_pct",
-]
-
 
 def build_on_time(spark, sf, **options) -> DataFrame:
     sources = [
@@ -624,44 +574,30 @@ def build_on_time(spark, sf, **options) -> DataFrame:
     ]
     options = {"override_customers": OVERRIDE_CUSTOMERS} | options
     result = on_time.build(*frames(spark, sf, *sources), **options)
-    distance = F.col("distance_per_load_num_qty").cast("double").alias("distance_per_load_num_qty")
-    return result.select(*ON_TIME_COLUMNS, distance)
+    return result.withColumn("distance_per_load_num_qty", F.col("distance_per_load_num_qty").cast("double"))
 
 
 @query
 def mart_on_time(spark, sf):
-    return build_on_time(spark, sf)
+    return build_on_time(spark, sf, stage=written(spark, "on_time_rows"))
 
 
 @query
 def mart_on_time_largest_order(spark, sf):
     """Promise result for the largest order of a load only, last ship-to as a real arg-max."""
-    built = build_on_time(spark, sf, largest_order_only=True, last_ship_to="argmax")
-    return built.select(*on_time.KEYS, "max_ship_to_party_code", "load_lvl_on_time_pct", "actual_on_time_pct")
+    return build_on_time(
+        spark, sf, largest_order_only=True, last_ship_to="argmax", stage=written(spark, "on_time_rows")
+    )
 
 
 @query
 def mart_interplant(spark, sf):
-    return on_time.inter_plant(build_on_time(spark, sf))
+    return on_time.inter_plant(build_on_time(spark, sf, stage=written(spark, "on_time_rows")))
 
 
 @query
 def mart_loading(spark, sf):
-    return loading.build(frame(spark, sf, "on_time_events")).select(
-        "load_id",
-        "change_type_code",
-        "event_datetm",
-        "order_num",
-        "lot_delay_reason_code",
-        "lot_delay_reason_code_desc",
-        "ship_month",
-        "ship_year",
-        "actual_ship_month_val",
-        "lot_otd_cnt",
-        "lot_tat_late_counter_val",
-        "country_to_desc",
-        "load_num_per_load_id_cnt",
-    )
+    return loading.build(frame(spark, sf, "on_time_events")).drop("last_update_utc_tmstp")
 
 
 @query
@@ -680,25 +616,25 @@ def _tender_shipments(spark, sf, **options):
 
 @query
 def mart_tender_shipments(spark, sf):
-    return _tender_shipments(spark, sf).select(
-        "load_id",
-        "forward_agent_id",
-        "concat_week_year",
-        "origin_zone_ship_from_code",
-        "dest_ship_from_code",
-        "customer_desc",
-        "accept_cnt",
-        "final_stop_postal_code",
-        "stop_name",
-    )
+    rows = _tender_shipments(spark, sf).drop("last_update_utc_tmstp")
+    days = ("actual_goods_issue_date", "week_begin_date")
+    return rows.withColumns({d: F.date_format(d, "yyyy-MM-dd") for d in days})
+
+
+@query
+def mart_tender_shipments_repeated(spark, sf):
+    """Every stop of a postal code repeats the shipment."""
+    rows = _tender_shipments(spark, sf, repeat_stops=True)
+    return rows.select("load_id", "concat_week_year", "customer_desc", "accept_cnt", "final_stop_postal_code", "stop_name")
 
 
 @query
 def mart_tender_shipments_by_week(spark, sf):
-    """Shipments joined to all lanes of their week, counted per load."""
-    rows = _tender_shipments(spark, sf, match_on=())
+    """Shipments with all lanes of their week, counted per load."""
+    costs, summary, locations = frames(spark, sf, "load_costs", "tender_summary", "locations")
+    rows = tender.shipments_of_week(costs, tender.lanes(summary), locations)
     return rows.groupBy("concat_week_year", "load_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("accept_cnt").alias("accepted")
+        F.sum("lane_cnt").alias("rows"), F.sum("lane_accept_cnt").alias("accepted")
     )
 
 
@@ -786,7 +722,7 @@ def _rounded(*names: str) -> list[Column]:
 
 def build_fill_hub(spark, sf) -> DataFrame:
     """Fill result of the test tables; frames several steps read are written to the shared folder."""
-    return fill_hub.build(*frames(spark, sf, *HUB_SOURCES), stage=written(spark, "trucks", "prepared"))
+    return fill_hub.build(*frames(spark, sf, *HUB_SOURCES), stage=written(spark, "items", "loads", "prepared"))
 
 
 @query
@@ -836,45 +772,10 @@ def mart_fill_load(spark, sf):
     return result.select(*FILL_LOAD_PLAIN, *_rounded(*FILL_LOAD_ROUNDED))
 
 
-SCORECARD_COLUMNS = [
-    "week_year_val",
-    "forward_agent_id",
-    "service_tms_code",
-    "origin_code",
-    "monster_origin_code",
-    "dest_ship_from_code",
-    "match_tier",
-    "parent_loc_code",
-    "ship_to_party_desc",
-    "dest_sold_to_name",
-    "actual_ship_date",
-    "freight_type_val",
-    "parent_carr_name",
-    "cdot_ontime_cnt",
-    "shpmt_cnt",
-    "shpmt_on_time_cnt",
-    "measrbl_shpmt_cnt",
-    "lane_name",
-    "long_forward_agent_id",
-    "accept_cnt",
-    "total_cnt",
-    "linehaul_cost_amt",
-    "lot_otd_count",
-    "lot_tat_late_counter_val",
-    "carr_failure_cnt",
-    "tolrnc_sot_val",
-    "plan_gross_weight_qty",
-    "shipped_net_vol_qty",
-    "avg_plan_gross_weight_qty",
-    "floor_position_qty",
-    "total_vf_optny_amt",
-]
-
-
 def build_scorecard(spark, sf, **options) -> DataFrame:
     sources = ["tender_weekly", "on_time_view", "loading_view", "fill_view"]
-    built = scorecard.build(*frames(spark, sf, *sources), **options)
-    return built.select(*SCORECARD_COLUMNS)
+    stage = written(spark, "fallback_matched")
+    return scorecard.build(*frames(spark, sf, *sources), stage=stage, **options)
 
 
 @query
@@ -884,5 +785,5 @@ def mart_scorecard(spark, sf):
 
 @query
 def mart_scorecard_with_duplicates(spark, sf):
-    """Unmatched facts in both tiers, and single-digit weeks unpadded on the fill side."""
-    return build_scorecard(spark, sf, keep_duplicates=True, pad_week=False)
+    """Unmatched facts in both tiers, highest origin per lane, single-digit fill weeks unpadded."""
+    return build_scorecard(spark, sf, keep_duplicates=True, lane_counts="max", pad_week=False)

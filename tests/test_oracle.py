@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from haulgrain.testbed.oracle import ORACLE
+from haulgrain.testbed.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert entry.queries().keys() >= QUERIES.keys() and entry.oracle_sql().keys() >= ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert differences(df, con, entry.oracle_sql()[name]) == []

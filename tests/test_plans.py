@@ -18,7 +18,6 @@ def plan(df):
 
 def test_anti_joins_are_anti_joins(spark):
     assert "LeftAnti" in plan(q.QUERIES["exclude_children"](spark, SF))
-    assert "LeftAnti" in plan(q.QUERIES["mart_scorecard"](spark, SF))
 
 
 def test_latest_periods_run_no_window_over_facts(spark):
@@ -68,7 +67,8 @@ def test_hub_keeps_one_row_per_item_and_reconciles_with_the_rollup(spark):
     hub = q.build_fill_hub(spark, SF).cache()
     items = fill_hub.normalize_items(frame(spark, SF, "delivery_items"))
     first = dedupe.keep_min_stage(items, "load_id", "trans_stage_num")
-    expected = first.dropna(subset=fill_hub.ITEM_KEYS).distinct()
+    expected = first.distinct()
+    assert expected.filter("load_gbu_id IS NULL").count() > 0
     assert hub.count() == expected.count()
     rolled = q.QUERIES["mart_fill_load"](spark, SF)
     a = hub.agg(F.sum("net_weight_qty"), F.sum("total_vf_optny_amt").cast("double")).collect()[0]
@@ -189,3 +189,85 @@ def test_hot_group_is_split_by_salts_alone(spark, skewed, small_scale):
         assert tasks.count() > 3
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+# --- passes over the facts --------------------------------------------------------------------
+
+
+def scans(df, table_name):
+    return plan(df).count(f"/{table_name}.parquet")
+
+
+def test_staged_scorecard_reads_its_facts_once(spark):
+    """After the staged match no plan of the result reads the on-time facts, and tender rows only once more."""
+    read = []
+
+    def stage(df, name):
+        if name == "fallback_matched":
+            read.append((scans(df, "lineitem"), plan(df)))
+            return spark.createDataFrame(df.limit(5).collect(), df.schema)
+        return df
+
+    sources = frames(spark, SF, "tender_weekly", "on_time_view", "loading_view", "fill_view")
+    built = scorecard.build(*sources, stage=stage)
+    assert [n for n, _ in read] == [2]  # on-time facts and tender rows
+    assert "LeftAnti" not in read[0][1]
+    assert scans(built, "lineitem") == 3  # tender rows, loading and fill facts
+
+
+def test_lane_counts_reconcile(spark):
+    sources = frames(spark, SF, "tender_weekly", "on_time_view")
+    facts = scorecard.on_time_facts(sources[1])
+    rest = facts.join(scorecard.tender_facts(sources[0]), scorecard.EXACT, "left_anti")
+    total = F.sum("shpmt_cnt")
+    assert scorecard.regroup_to_lane(rest).agg(total).first() == rest.agg(total).first()
+    assert scorecard.regroup_to_lane(rest, "max").agg(total).first()[0] < rest.agg(total).first()[0]
+
+
+def test_staged_on_time_reads_the_events_once(spark):
+    read = []
+
+    def stage(df, name):
+        read.append(scans(df, "lineitem"))
+        return spark.createDataFrame(df.limit(5).collect(), df.schema)
+
+    built = q.build_on_time(spark, SF, stage=stage)
+    assert read == [1] and scans(built, "lineitem") == 1  # the freight statistics
+
+
+def test_hub_joins_the_cut_items_once_on_the_load(spark):
+    """The rows handed on as ``prepared`` meet per-load results in a single join."""
+    shuffled = []
+
+    def stage(df, name):
+        shuffled.append(name)
+        return spark.createDataFrame(df.limit(5).collect(), df.schema)
+
+    sources = frames(spark, SF, *q.HUB_SOURCES)
+    built = fill_hub.build(*sources, stage=stage)
+    assert shuffled == ["items", "costs", "loads", "prepared", "valued"]
+    assert built.columns
+
+
+def test_hub_options_for_null_keys_and_trucks(spark):
+    sources = frames(spark, SF, *q.HUB_SOURCES)
+    kept = fill_hub.build(*sources)
+    dropped = fill_hub.build(*sources, keep_null_keys=False)
+    assert kept.filter("load_gbu_id IS NULL").count() > 0
+    assert dropped.filter("load_gbu_id IS NULL").count() == 0
+    assert fill_hub.build(*sources, one_truck=False).count() >= kept.count()
+
+
+@pytest.mark.parametrize("build", [on_time.build, fill_hub.build, scorecard.build])
+def test_unknown_formulas_are_refused(spark, build):
+    names = {on_time.build: 6, fill_hub.build: 12, scorecard.build: 4}
+    with pytest.raises(ValueError, match="unknown formulas"):
+        build(*[table(spark, SF, "nation")] * names[build], formulas={"no_such_column": "1"})
+
+
+def test_largest_order_leaves_smaller_orders_of_listed_customers_without_a_percentage(spark):
+    built = q.build_on_time(spark, SF, largest_order_only=True)
+    listed = built.filter("customer_desc IN ('BUILDING', 'MACHINERY') AND load_lvl_on_time_pct IS NULL")
+    known = " AND ".join(f"{k} IS NOT NULL" for k in on_time.KEYS)
+    rows = listed.filter(known)
+    assert rows.count() > 0 and rows.filter("actual_on_time_pct IS NOT NULL").count() == 0
