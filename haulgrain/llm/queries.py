@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrain.llm import chaining, line_dedup, minhash, orc_ids, pii, quality, sentencepiece_fst, toxicity, wumanber
+from haulgrain.llm import chaining, line_dedup, minhash, orc_ids, pii, quality, sentencepiece_fst, toxicity, urls, wumanber
 from haulgrain.llm.shared import hex_sha256, new_folder, table
 
 
@@ -28,6 +28,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("hits", "items")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.labelled_urls(spark))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -165,6 +169,7 @@ QUERIES = {
     "op2_substring_chaining": op2_substring_chaining,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_url_filter": op5_url_filter,
     "op6_personal_data": op6_personal_data,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
