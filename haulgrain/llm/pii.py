@@ -233,9 +233,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
         "spans", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     )
     base = F.filter("spans", lambda x: x["kind"] < 4)
-    counts = [
-        F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("bigint").alias(f"n_{kind}") for i, kind in enumerate(KINDS)
-    ]
+
+    def count_of(number: int):
+        return F.size(F.filter("spans", lambda x: x["kind"] == number)).cast("bigint")
+
+    counts = [count_of(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return joined.select(
         "doc_id", *counts, F.sha2(F.encode(text(base), "UTF-8"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans")
     )
