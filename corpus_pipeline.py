@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrain.llm import line_dedup, minhash, sentencepiece_fst, toxicity, wumanber
-from haulgrain.llm.shared import new_folder, table
+from haulgrain.llm.shared import importable, new_folder, table
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -34,11 +34,11 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("toxicity", remove_toxic),
-    ("line dedup", remove_repeated_lines),
-    ("minhash near-dedup", remove_near_duplicates),
-    ("benchmark decontamination", remove_contaminated),
-    ("sentencepiece", encode_pieces),
+    ("toxicity", importable(remove_toxic)),
+    ("line dedup", importable(remove_repeated_lines)),
+    ("minhash near-dedup", importable(remove_near_duplicates)),
+    ("benchmark decontamination", importable(remove_contaminated)),
+    ("sentencepiece", importable(encode_pieces)),
 ]
 
 #: SQL can't express the toxicity model and the piece lattice

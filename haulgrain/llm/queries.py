@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulgrain.llm import chaining, line_dedup, minhash, orc_ids, pii, quality, sentencepiece_fst, toxicity, urls, wumanber
-from haulgrain.llm.shared import hex_sha256, new_folder, table
+from haulgrain.llm.shared import hex_sha256, importable, new_folder, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,16 +165,19 @@ FROM judged
 """
 
 QUERIES = {
-    "op1_toxicity": op1_toxicity,
-    "op2_substring_chaining": op2_substring_chaining,
-    "op3_line_dedup": op3_line_dedup,
-    "op4_benchmark_decontamination": op4_benchmark_decontamination,
-    "op5_url_filter": op5_url_filter,
-    "op6_personal_data": op6_personal_data,
-    "op7_sentencepiece": op7_sentencepiece,
-    "op8_minhash_near_dedup": op8_minhash_near_dedup,
-    "op9_quality_cascade": op9_quality_cascade,
-    "op10_orc_token_ids": op10_orc_token_ids,
+    query.__name__: importable(query)
+    for query in (
+        op1_toxicity,
+        op2_substring_chaining,
+        op3_line_dedup,
+        op4_benchmark_decontamination,
+        op5_url_filter,
+        op6_personal_data,
+        op7_sentencepiece,
+        op8_minhash_near_dedup,
+        op9_quality_cascade,
+        op10_orc_token_ids,
+    )
 }
 
 ORACLE = {

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def importable(call: Callable) -> Callable:
+    """Let Python workers find this package where the driver has it, before ``call(spark, ...)`` runs.
+
+    A cluster without that folder gets the package in its usual way, such as ``--py-files``.
+    """
+
+    @wraps(call)
+    def ready(spark: SparkSession, *args):
+        root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+        known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in known:
+            env["PYTHONPATH"] = os.pathsep.join([*known, root])
+        return call(spark, *args)
+
+    return ready
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; where it is unset, a folder in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
