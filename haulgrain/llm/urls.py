@@ -41,6 +41,8 @@ BLOCKED = (
     "http://cheap-replica-watches.test/shop", "https://seo-backlinks-buy.test/", "http://work-from-home-rich.test/join",
     "http://spam-links.test/farm", "http://link-farm-spam.test/1", "https://free-bets-today.test/odds", "http://adult-x-films.test/en/3",
     "http://free-download-crack.test/keygen", "https://hot-singles-date.test/chat", "http://click-here-win.test/prize",
+    "http://m.adult-films.example.net/en/5", "http://www.casino-games.example.com/de/7", "https://blog.free-pills.example.net/en/2",
+    "https://m.track-ads.example.com/en/4", "https://www.spam-links.example.net/fr/6", "https://m.bets-today.example.com/es/9",
 )
 ALLOWED = (
     "https://www.example.net/en/1", "https://blog.gardening.test/en/201.html", "https://m.weather.test/de/7",
