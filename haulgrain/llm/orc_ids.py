@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,14 @@ REMEMBERED = 400_000
 
 FILE_COLUMNS = "part int, doc_id bigint, start_in_part bigint, n_tokens bigint, ids array<int>"
 
+#: marks that may stand behind a word; they and the letters before them are always apart
+MARKS = ".,;:!?)]}\"#*$%&|>"
+#: letters from here on go the whole way, as lower case may depend on their surroundings
+LATIN_END = "\u0370"
+#: the tokenizer's public byte alphabet: printable bytes stand for themselves, the others follow from 256 on
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -35,7 +45,9 @@ class WordEncoder:
     """The tokenizer of one file, with the ids of the words it has met lately.
 
     Space, tab, line feed and carriage return separate words for the tokenizer too, so the ids of a
-    text are those of the stretches between them, one after the other.
+    text are those of the stretches between them, one after the other.  A word of Latin letters,
+    with or without marks behind it, goes straight to the tokenizer's model in lower case and in its
+    byte alphabet; all other words take the whole way.
     """
 
     def __init__(self, path: str):
@@ -43,19 +55,47 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def simple(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters and marks behind it; None for any other word."""
+        head = word.rstrip(MARKS)
+        low = head.lower()
+        ids = self.letters.get(low) if head.isascii() else None
+        if ids is None:
+            if not (head.isalpha() and low.isalpha() and max(head) < LATIN_END and is_normalized("NFC", head)):
+                return None
+            pieces = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS))
+            ids = self.letters[low] = array("I", [x.id for x in pieces]).tobytes()
+        tail = word[len(head) :]
+        if tail not in self.marks:
+            if len(self.marks) >= 10_000:
+                self.marks = {"": b""}
+            self.marks[tail] = self.whole([tail])[0]
+        return ids + self.marks[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        new = list({w for text in words for w in text if w not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(got.ids, "<u4").tobytes()
+            self.known, self.letters = {"": b""}, {}
+        known, other = self.known, []
+        for word in {w for text in words for w in text if w not in known}:
+            ids = self.simple(word)
+            if ids is None:
+                other.append(word)
+            else:
+                known[word] = ids
+        for at in range(0, len(other), 10_000):
+            part = other[at : at + 10_000]
+            known.update(zip(part, self.whole(part), strict=True))
         return [b"".join(map(known.__getitem__, text)) for text in words]
 
 
