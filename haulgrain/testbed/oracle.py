@@ -5,7 +5,7 @@ Only the mapping of the test tables to freight sources (``frames.cte``) is share
 
 from __future__ import annotations
 
-from .frames import cte
+from .frames import FRAMES, cte
 
 ORACLE: dict[str, str] = {}
 
@@ -1091,3 +1091,22 @@ ORACLE["mart_scorecard"] = f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(
 ORACLE["mart_scorecard_with_duplicates"] = f"WITH {_SCORECARD_SOURCES}, " + _SCORECARD.format(
     week=_UNPADDED, first="TRUE", counts="max", fill=_FILL
 )
+
+# --- sources, sinks and jobs ------------------------------------------------------------------
+
+_COUNTED = " UNION ALL ".join(
+    f"""SELECT '{n}' AS source, (SELECT count(*) FROM {n}) AS rows,
+  (SELECT count(*) FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM {n}) ON COLUMNS(*))) AS filled"""
+    for n in FRAMES
+)
+
+ORACLE["sources_by_name"] = f"WITH {cte(*FRAMES)} {_COUNTED}"
+
+ORACLE["job_loading"] = f"""
+SELECT load_id, change_type_code, ship_year::BIGINT AS ship_year, lot_otd_cnt::DOUBLE AS lot_otd_cnt
+FROM ({ORACLE["mart_loading"]})
+"""
+ORACLE["job_tenders"] = ORACLE["mart_tender_shipments_repeated"]
+ORACLE["job_interplant"] = ORACLE["mart_interplant"]
+ORACLE["job_fill_load"] = ORACLE["mart_fill_load"]
+ORACLE["job_scorecard"] = ORACLE["mart_scorecard"]

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import jobs
 from ..functions import keys as k
 from ..functions import periods as p
 from ..functions import rules as r
@@ -18,7 +19,7 @@ from ..plans import fill_hub, fill_load, loading, on_time, scorecard, tender
 from ..session import tune
 from ..sources.catalog import SourceCatalog, read_source
 from ..sources.sink import conform, overwrite_table
-from .frames import frame, frames, table
+from .frames import FRAMES, frame, frames, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -787,3 +788,80 @@ def mart_scorecard(spark, sf):
 def mart_scorecard_with_duplicates(spark, sf):
     """Unmatched facts in both tiers, highest origin per lane, single-digit fill weeks unpadded."""
     return build_scorecard(spark, sf, keep_duplicates=True, lane_counts="max", pad_week=False)
+
+
+# --- sources, sinks and jobs ------------------------------------------------------------------
+
+
+def _catalog(spark, sf, sources, outputs, columns=None) -> SourceCatalog:
+    """Catalog of the named sources, written as Parquet, and of new tables for the outputs."""
+    own = uuid.uuid4().hex
+    folder = f"{shared_folder(spark)}/sources-{own}"
+    for name, df in zip(sources, frames(spark, sf, *sources)):
+        df.write.parquet(f"{folder}/{name}")
+    tables = {name: f"{folder}/{name}" for name in sources}
+    return SourceCatalog(tables | {name: f"{name}_{own}" for name in outputs}, columns or {})
+
+
+@query
+def sources_by_name(spark, sf):
+    """Every source under other column names, read back by its logical name: rows and filled values."""
+    folder = f"{shared_folder(spark)}/sources-{uuid.uuid4().hex}"
+    tables, columns, counts = {}, {}, []
+    for name, df in zip(FRAMES, frames(spark, sf, *FRAMES)):
+        tables[name], columns[name] = f"{folder}/{name}", {f"SRC_{c}": c for c in df.columns}
+        df.withColumnsRenamed({c: f"src_{c}" for c in df.columns}).write.parquet(tables[name])
+    catalog = SourceCatalog(tables, columns)
+    for name, wanted in columns.items():
+        df = read_source(spark, name, catalog)
+        filled = sum((F.count(c) for c in wanted.values()), F.lit(0).cast("bigint"))
+        counts.append(df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("rows"), filled.alias("filled")))
+    return reshape.union_all(counts).select("source", "rows", "filled")
+
+
+@query
+def job_loading(spark, sf):
+    """The loading job into a table that exists, with fewer columns, other types and a renamed key."""
+    catalog = _catalog(spark, sf, ["on_time_events"], ["loading"], {"loading": {"load_number": "load_id"}})
+    columns = "change_type_code STRING, load_number STRING, ship_year BIGINT, lot_otd_cnt DOUBLE"
+    spark.sql(f"CREATE TABLE {catalog.physical_name('loading')} ({columns}) USING parquet")
+    jobs.load_loading(spark, catalog)
+    return read_source(spark, "loading", catalog, refresh=True)
+
+
+@query
+def job_tenders(spark, sf):
+    """Both targets of the tender job; the shipments are read back."""
+    outputs = ["tender_lanes", "tender_shipments"]
+    catalog = _catalog(spark, sf, ["tender_summary", "load_costs", "locations"], outputs)
+    jobs.load_tenders(spark, catalog, shipment_options={"repeat_stops": True})
+    rows = read_source(spark, "tender_shipments", catalog, refresh=True)
+    return rows.select("load_id", "concat_week_year", "customer_desc", "accept_cnt", "final_stop_postal_code", "stop_name")
+
+
+@query
+def job_interplant(spark, sf):
+    """The on-time job and, from its target, the inter-plant job."""
+    sources = ["on_time_events", "origin_units", "destination_channels", "ship_to_flags", "on_time_reasons", "freight_stats"]
+    catalog = _catalog(spark, sf, sources, ["on_time", "inter_plant"])
+    jobs.load_on_time(spark, catalog, override_customers=OVERRIDE_CUSTOMERS)
+    jobs.load_inter_plant(spark, catalog)
+    rows = read_source(spark, "inter_plant", catalog, refresh=True)
+    return rows.withColumn("distance_per_load_num_qty", F.col("distance_per_load_num_qty").cast("double"))
+
+
+@query
+def job_fill_load(spark, sf):
+    """The item-level fill job and, from its target, the load-level one."""
+    catalog = _catalog(spark, sf, [*HUB_SOURCES, "unit_costs"], ["fill_hub", "fill_load"])
+    jobs.load_fill_hub(spark, catalog)
+    jobs.load_fill_load(spark, catalog)
+    result = read_source(spark, "fill_load", catalog, refresh=True)
+    return result.select(*FILL_LOAD_PLAIN, *_rounded(*FILL_LOAD_ROUNDED))
+
+
+@query
+def job_scorecard(spark, sf):
+    catalog = _catalog(spark, sf, ["tender_weekly", "on_time_view", "loading_view", "fill_view"], ["scorecard"])
+    jobs.load_scorecard(spark, catalog)
+    return read_source(spark, "scorecard", catalog, refresh=True)
