@@ -4,8 +4,9 @@ Base patterns find e-mail addresses, IPv4 addresses, card and phone numbers; the
 Candidates are other stretches that look like identifiers: a token with digits, or a run of digit
 groups.  A pattern is a piece of context: the word before, the two words before, the word before
 with the word after, or the label inside the token (``password=``).  Patterns and instances form a
-bipartite graph that Spark scores in rounds: a pattern's score is its seeds and trusted instances
-over all its instances, smoothed against chance; an instance is trusted once its best pattern is
+bipartite graph that Spark scores in rounds: a pattern's score is the share of seeds and trusted
+instances among all its instances, or rather the lower end of that share's confidence interval, so
+that a few lucky instances don't count; an instance is trusted once its best pattern is
 trusted.  Trusted patterns then mark candidates everywhere as kind ``other``.
 
 The graph is aggregated to (pattern, instance) before each round, so a context with a third of all
@@ -25,8 +26,8 @@ from haulgrain.llm.shared import cut
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: a pattern is trusted with this smoothed share of trusted instances, and with so many different seeds
-TRUST = 0.8
+#: a pattern is trusted from this score on; Z is the width of the interval in standard deviations
+TRUST, Z = 0.75, 2.0
 LEAST_SEEDS = 5
 ROUNDS = 3
 
@@ -184,6 +185,8 @@ def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
     believed = edges.where("seed").select("instance").distinct()
     scores = None
+    n, share = F.col("n"), F.col("good") / F.col("n")
+    lower = (share + Z * Z / (2 * n) - Z * F.sqrt((share * (1 - share) + Z * Z / (4 * n)) / n)) / (1 + Z * Z / n)
     for _ in range(rounds):
         marked = edges.join(believed.withColumn("yes", F.lit(1)), "instance", "left")
         scores = (
@@ -192,7 +195,7 @@ def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 F.count("*").alias("n"), F.sum(F.coalesce("yes", F.lit(0))).alias("good"),
                 F.sum(F.col("seed").cast("int")).alias("seeds"),
             )
-            .where((F.col("seeds") >= LEAST_SEEDS) & (F.col("good") >= TRUST * (F.col("n") + 1)))
+            .where((F.col("seeds") >= LEAST_SEEDS) & (lower >= TRUST))
             .select("pattern")
         )
         scores = cut(scores)
