@@ -781,7 +781,8 @@ one_truck AS (
     PARTITION BY load_id, order_num ORDER BY release_dttm DESC) = 1),
 trucked AS (
   SELECT i.*, truck_type_code, pallet_num_qty, pallet_spot_qty, total_gross_weight_qty,
-    total_gross_vol_qty,
+    total_gross_vol_qty, transport_num, linkage_item_num, linkage_kind_code, leo_tour_id, release_dttm,
+    truck_vehicle_type_code, vehicle_true_max_vol_qty, vehicle_true_max_weight_qty,
     CASE WHEN t.order_num IS NULL THEN 'S' ELSE 'O' END AS ordered_shipped_flag,
     coalesce(oblb_gross_weight_plan_qty, total_gross_weight_qty) AS filled_weight,
     coalesce(oblb_gross_vol_plan_qty, total_gross_vol_qty) AS filled_vol,
@@ -909,9 +910,24 @@ _HUB_COLUMNS = _columns(
     check_density sum_pallet_spot_qty hopade_amt max_orders_incrmtl_amt
     glb_segment_impact_cat_ld_amt drf_last_truck_amt max_orders_non_drp_amt
     sum_max_orders_incrmtl_amt sum_max_orders_non_drp_amt sum_hopade_amt sum_drf_last_truck_amt
-    weight_avg_qty""".split(),
+    weight_avg_qty gbu_code gbu_desc ship_to_party_desc net_weight_qty gross_weight_qty net_vol_qty
+    gross_vol_qty oblb_gross_weight_plan_qty oblb_gross_weight_shipped_qty
+    oblb_net_weight_plan_qty oblb_gross_vol_plan_qty oblb_gross_vol_shipped_qty
+    oblb_net_vol_plan_qty max_weight_qty max_vol_trans_mgmt_sys_qty
+    max_pallet_tms_trans_type_qty floor_position_qty pallet_qty theortc_pallet_qty
+    actual_cost_amt shpmt_start_date fiscal_year_num fiscal_year_perd_num pallet_num_qty
+    pallet_spot_qty total_gross_weight_qty total_gross_vol_qty shipped_net_vol_qty
+    shipped_gross_weight_qty plan_gross_vol_qty plan_net_weight_qty actual_carr_trans_cost_amt
+    linehaul_cost_amt fuel_cost_amt fabric_subsector_step_cnt hair_subsector_step_cnt
+    other_subsector_cnt origin_zone_ship_from_code origin_loc_id origin_zone_code
+    dest_ship_from_code dest_zone_code dest_loc_code tms_service_code freight_auction_flag
+    actual_carr_total_trans_cost_usd_amt max_freight_cost_charge_code customer_lvl1_code
+    customer_lvl1_desc customer_lvl3_code customer_lvl5_code customer_lvl5_desc
+    customer_lvl12_code customer_lvl12_desc trade_chanl_id max_net_weight_order_qty
+    transport_num linkage_item_num linkage_kind_code leo_tour_id release_dttm
+    truck_vehicle_type_code vehicle_true_max_vol_qty vehicle_true_max_weight_qty""".split(),
     """avg_award_weekly_vol_qty weight_vol_plan_qty density_rate load_material_weight_qty
-    load_density_rate pallet_load_qty pallet_impact_amt opertng_space_impact_amt net_vol_fill_rate
+    load_material_vol_qty load_density_rate pallet_load_qty pallet_impact_amt opertng_space_impact_amt net_vol_fill_rate
     net_density_order_qty calc_std_weight_qty cut_impact_rate prod_density_gap_impact_pct
     hopade_amt_dec total_vf_optny_amt""".split(),
 )

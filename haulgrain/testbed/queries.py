@@ -697,12 +697,77 @@ HUB_PLAIN = [
     "sum_hopade_amt",
     "sum_drf_last_truck_amt",
     "weight_avg_qty",
+    "gbu_code",
+    "gbu_desc",
+    "ship_to_party_desc",
+    "net_weight_qty",
+    "gross_weight_qty",
+    "net_vol_qty",
+    "gross_vol_qty",
+    "oblb_gross_weight_plan_qty",
+    "oblb_gross_weight_shipped_qty",
+    "oblb_net_weight_plan_qty",
+    "oblb_gross_vol_plan_qty",
+    "oblb_gross_vol_shipped_qty",
+    "oblb_net_vol_plan_qty",
+    "max_weight_qty",
+    "max_vol_trans_mgmt_sys_qty",
+    "max_pallet_tms_trans_type_qty",
+    "floor_position_qty",
+    "pallet_qty",
+    "theortc_pallet_qty",
+    "actual_cost_amt",
+    "shpmt_start_date",
+    "fiscal_year_num",
+    "fiscal_year_perd_num",
+    "pallet_num_qty",
+    "pallet_spot_qty",
+    "total_gross_weight_qty",
+    "total_gross_vol_qty",
+    "shipped_net_vol_qty",
+    "shipped_gross_weight_qty",
+    "plan_gross_vol_qty",
+    "plan_net_weight_qty",
+    "actual_carr_trans_cost_amt",
+    "linehaul_cost_amt",
+    "fuel_cost_amt",
+    "fabric_subsector_step_cnt",
+    "hair_subsector_step_cnt",
+    "other_subsector_cnt",
+    "origin_zone_ship_from_code",
+    "origin_loc_id",
+    "origin_zone_code",
+    "dest_ship_from_code",
+    "dest_zone_code",
+    "dest_loc_code",
+    "tms_service_code",
+    "freight_auction_flag",
+    "actual_carr_total_trans_cost_usd_amt",
+    "max_freight_cost_charge_code",
+    "customer_lvl1_code",
+    "customer_lvl1_desc",
+    "customer_lvl3_code",
+    "customer_lvl5_code",
+    "customer_lvl5_desc",
+    "customer_lvl12_code",
+    "customer_lvl12_desc",
+    "trade_chanl_id",
+    "max_net_weight_order_qty",
+    "transport_num",
+    "linkage_item_num",
+    "linkage_kind_code",
+    "leo_tour_id",
+    "release_dttm",
+    "truck_vehicle_type_code",
+    "vehicle_true_max_vol_qty",
+    "vehicle_true_max_weight_qty",
 ]
 HUB_ROUNDED = [
     "avg_award_weekly_vol_qty",
     "weight_vol_plan_qty",
     "density_rate",
     "load_material_weight_qty",
+    "load_material_vol_qty",
     "load_density_rate",
     "pallet_load_qty",
     "pallet_impact_amt",
