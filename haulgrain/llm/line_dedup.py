@@ -26,6 +26,8 @@ from haulgrain.llm.shared import cut
 
 #: lines of a window; a repeated run is found from this length on
 RUN = 3
+#: rows whose texts a worker rebuilds at a time
+ROWS_A_PIECE = 256
 
 KEY = ("_doc_key", "_text_key")
 FINGERPRINTS = "_doc_key bigint, _text_key bigint, fingerprint bigint, at int, windows array<struct<start:int,value:bigint>>"
@@ -148,7 +150,8 @@ def line_dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pieces = (b.slice(lo, ROWS_A_PIECE) for b in batches for lo in range(0, b.num_rows, ROWS_A_PIECE))
+        for batch in pieces:
             texts, rows = [], []
             for text, starts in zip((t.as_py() for t in batch.column("text")), batch.column("starts").to_pylist(), strict=True):
                 cleaned, n, runs = without_runs(text or "", starts or [], run)
@@ -156,7 +159,7 @@ def line_dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
                 rows.append((n, sum(b - a for a, b in runs), ",".join(f"{a}-{b}" for a, b in runs)))
             out = batch.drop_columns(["starts"])
             out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(texts, batch.column("text").type))
-            n, deleted, runs = zip(*rows, strict=True) if rows else ((), (), ())
+            n, deleted, runs = zip(*rows, strict=True)
             for name, values, kind in (("n_lines", n, pa.int64()), ("n_deleted", deleted, pa.int64()), ("runs", runs, pa.string())):
                 out = out.append_column(name, pa.array(values, kind))
             yield out

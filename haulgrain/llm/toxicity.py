@@ -28,7 +28,7 @@ STEMS, VOTING_STEMS = 1024, 96
 STEM_LENGTHS = range(3, 9)
 LEAST_Z = 3.5
 THRESHOLD = 0.3
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 #: fixed values: English insults, each a voter
 LEXICON = (
