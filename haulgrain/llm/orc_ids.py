@@ -58,7 +58,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
         self.letters: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -67,17 +67,19 @@ class WordEncoder:
     def simple(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters and marks behind it; None for any other word."""
         head = word.rstrip(MARKS)
-        low = head.lower()
-        ids = self.letters.get(low) if head.isascii() else None
+        low, plain = head.lower(), head.isascii()
+        ids = self.letters.get(low) if plain else None
         if ids is None:
-            if not (head.isalpha() and low.isalpha() and max(head) < LATIN_END and is_normalized("NFC", head)):
+            if not (head.isalpha() and (plain or low.isalpha() and max(head) < LATIN_END and is_normalized("NFC", head))):
                 return None
-            pieces = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS))
+            pieces = self.model.tokenize(low if plain else low.encode().decode("latin-1").translate(BYTE_LETTERS))
             ids = self.letters[low] = array("I", [x.id for x in pieces]).tobytes()
+        if len(head) == len(word):
+            return ids
         tail = word[len(head) :]
         if tail not in self.marks:
             if len(self.marks) >= 10_000:
-                self.marks = {"": b""}
+                self.marks = {}
             self.marks[tail] = self.whole([tail])[0]
         return ids + self.marks[tail]
 
