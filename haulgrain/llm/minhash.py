@@ -9,11 +9,15 @@ keys; at a similarity of 0.75 all 32 bands miss with a probability below 1e-5.
 Documents with the same shingle set are one node from the start.  In a bucket, candidate edges form
 stars: the smallest node is compared with all others and then leaves the bucket.  Where the rest
 still belongs to several components, a further star is drawn from a member that each bucket picks in
-an order of its own, compared with the members of other components only.  This goes on until no
-bucket holds several components, or until a round, the third at the earliest, confirms no new link.
-A round makes at most one pair per member of a bucket, so pairs stay linear in the documents even in
-a large group of near copies; a bucket of up to four is compared in full.  Links are confirmed on
-the full sets of both texts.
+an order of its own, compared with the members of other components only.  A round makes at most one
+pair per member of a bucket, so a large group of near copies becomes one component with few pairs.
+Stars end, after the third round at the earliest, when few of their pairs are links.
+
+The buckets that then still hold several components are finished exactly: their members are joined
+on the rarest of their shingles, so many of them that two similar sets must meet in one (prefix
+filter), at places that leave enough shingles behind them (positional filter).  So any two nodes of
+a bucket end in one component, or have been compared, or can't be similar enough.  Links are
+confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ SHINGLE = 5
 SIMILARITY_PCT = 75
 #: rounds of stars that are drawn even if one of them confirms nothing
 LEAST_ROUNDS = 3
+#: later rounds go on while at least one in so many pairs is a link
+PAIRS_A_LINK = 10
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BIN_SALT = np.uint64(0x2545F4914F6CDD1D)
@@ -186,6 +192,67 @@ def centred(members: DataFrame, turn: Column) -> DataFrame:
     return members.join(chosen, "bucket")
 
 
+SHINGLES = "node bigint, n_shingles bigint, component bigint, shingle bigint"
+
+
+def shingle_rows(nodes: DataFrame, text: DataFrame) -> DataFrame:
+    """One row per shingle of each node (node, n_shingles, key, component)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in SHINGLES.split(", ")]
+        for batch in batches:
+            keys = batch.column("key").to_pylist()
+            for lo, hi, buf, offsets in K.chunks(batch.column("text")):
+                sets = shingle_sets(buf, offsets)
+                # the id may be repeated with another text
+                sets = [s if len(s) and set_key(s) == key else s[:0] for s, key in zip(sets, keys[lo:hi], strict=True)]
+                rows = pa.array(np.repeat(np.arange(lo, hi), [len(s) for s in sets]))
+                columns = [batch.column(c).take(rows) for c in names[:3]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(K.signed(np.concatenate(sets)))], names=names)
+
+    joined = nodes.join(text.withColumnRenamed("doc_id", "node"), "node")
+    return joined.select("node", "n_shingles", "component", "key", "text").mapInArrow(work, SHINGLES)
+
+
+def prefixes(nodes: DataFrame, text: DataFrame) -> DataFrame:
+    """Rows (shingle, node, n_shingles, component, place): each node's first shingles, rarest first.
+
+    Two sets that reach the similarity have their first common shingle among these.  Shingles of one
+    node only come first of all and take up places, but no rows.
+    """
+    rows = shingle_rows(nodes, text)
+    common = cut(rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"))
+    listed = (
+        rows.join(common, "shingle")
+        .groupBy("node", "n_shingles", "component")
+        .agg(F.sort_array(F.collect_set(F.struct("times", "shingle"))).alias("ranked"))
+    )
+    alone = F.col("n_shingles") - F.size("ranked")
+    least = F.ceil(SIMILARITY_PCT * F.col("n_shingles") / 100)
+    first = listed.withColumns({"alone": alone, "length": F.col("n_shingles") - least + 1 - alone}).where("length > 0")
+    placed = first.select("node", "n_shingles", "component", "alone", F.posexplode(F.slice("ranked", F.lit(1), F.col("length").cast("int"))))
+    return placed.select("col.shingle", "node", "n_shingles", "component", (F.col("alone") + F.col("pos") + 1).alias("place"))
+
+
+def prefix_pairs(members: DataFrame, text: DataFrame) -> DataFrame:
+    """Pairs (a, a_key, b, b_key) of members of different components; all that are similar enough are among them."""
+    nodes = cut(members.select("node", "n_shingles", "key", "component").distinct())
+    rows = cut(prefixes(nodes, text))
+    x, y = rows.alias("x"), rows.alias("y")
+    shorter = (F.col("y.n_shingles") < F.col("x.n_shingles")) | (
+        (F.col("y.n_shingles") == F.col("x.n_shingles")) & (F.col("y.node") < F.col("x.node"))
+    )
+    # the shingle at hand and those behind it in both orders must suffice for the overlap that the sizes ask for
+    behind = F.least(F.col("x.n_shingles") - F.col("x.place"), F.col("y.n_shingles") - F.col("y.place")) + 1
+    both = F.col("x.n_shingles") + F.col("y.n_shingles")
+    fits = (100 * F.col("y.n_shingles") >= SIMILARITY_PCT * F.col("x.n_shingles")) & ((100 + SIMILARITY_PCT) * behind >= SIMILARITY_PCT * both)
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") != F.col("y.component")) & shorter & fits)
+    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    keys = nodes.select("node", "key")
+    pairs = pairs.join(keys.withColumnsRenamed({"node": "a", "key": "a_key"}), "a")
+    return pairs.join(keys.withColumnsRenamed({"node": "b", "key": "b_key"}), "b").select("a", "a_key", "b", "b_key")
+
+
 def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links (u, v) between nodes (node, n_shingles, key, bands)."""
     buckets = nodes.where("node is not null").select(
@@ -204,14 +271,15 @@ def near_links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         new = cut(confirmed(pairs, text))
         tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
         links = new if links is None else links.union(new)
-        if turn >= LEAST_ROUNDS and new.isEmpty():
-            return links
         # a centre has met all members of its bucket and leaves it
         rest = members.where("node <> centre.node").drop("centre", "component").join(components(links), "node", "left")
         order = F.xxhash64("bucket", "node", F.lit(turn))
         members = cut(centred(rest.withColumn("component", F.coalesce("component", "node")), order))
         if members.isEmpty():
             return links
+        if turn >= LEAST_ROUNDS and PAIRS_A_LINK * new.count() < pairs.count():
+            pairs = cut(prefix_pairs(members, text).join(tried, ["a", "b"], "left_anti"))
+            return links.union(cut(confirmed(pairs, text)))
         turn += 1
 
 
