@@ -28,7 +28,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 #: a pattern is trusted from this score on; Z is the width of the interval in standard deviations
 TRUST, Z = 0.75, 2.0
-LEAST_SEEDS = 5
+#: seeds or instances trusted in an earlier round that a trusted pattern has at least
+LEAST_GOOD = 5
 ROUNDS = 3
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -38,6 +39,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: identifier-like: a token with a digit, of six characters at least
 _CANDIDATE = re.compile(r"(?<![^ \t-\r])(?=[^ \t-\r0-9]*[0-9])[^ \t-\r]{6,}")
+#: two digit groups or more, or such an account number: two letters and two digits, then groups of up to four
+_GROUPS = re.compile(r"(?<![^ \t-\r])(?:[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4})+(?: [A-Z0-9]{1,3})?|[0-9]{2,}(?: [0-9]{2,})+)(?![A-Za-z0-9])")
 _LABEL = re.compile(r"[A-Za-z_]+(?=[=:])")
 _WORD = re.compile(r"[^ \t-\r]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -146,8 +149,8 @@ def mentions(docs: DataFrame) -> DataFrame:
                 taken = sorted((s, e) for s, _, e in spans)
                 for s, kind, e in spans:
                     rows.append((*key, s, e, kind, text[s:e], shape(text[s:e]), contexts(text, s, e)))
-                for match in _CANDIDATE.finditer(text):
-                    s, e = match.span()
+                tokens, groups = _CANDIDATE.finditer(text), _GROUPS.finditer(text)
+                for s, e in sorted({m.span() for m in tokens} | {m.span() for m in groups}):
                     while s < e and text[e - 1] in ".,;:!?)]\"'":
                         e -= 1
                     if e - s >= 6 and not overlaps(taken, s, e):
@@ -193,9 +196,8 @@ def trusted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             marked.groupBy("pattern")
             .agg(
                 F.count("*").alias("n"), F.sum(F.coalesce("yes", F.lit(0))).alias("good"),
-                F.sum(F.col("seed").cast("int")).alias("seeds"),
             )
-            .where((F.col("seeds") >= LEAST_SEEDS) & (lower >= TRUST))
+            .where((F.col("good") >= LEAST_GOOD) & (lower >= TRUST))
             .select("pattern")
         )
         scores = cut(scores)
