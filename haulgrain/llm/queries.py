@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulgrain.llm import chaining, line_dedup, minhash, orc_ids, pii, quality, sentencepiece_fst, toxicity, urls, wumanber
+from haulgrain.llm import (
+    chaining,
+    collocations,
+    hard_negatives,
+    line_dedup,
+    minhash,
+    orc_ids,
+    pii,
+    prefix_join,
+    quality,
+    sentencepiece_fst,
+    toxicity,
+    urls,
+    wumanber,
+)
 from haulgrain.llm.shared import hex_sha256, importable, new_folder, table
 
 
@@ -55,6 +69,18 @@ def op10_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_ids.checksums(orc_ids.read_ids(spark, folder))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -112,25 +138,78 @@ SELECT t.doc_id, n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(runs, ''
 FROM texts t LEFT JOIN named n ON n.doc_id = t.doc_id
 """
 
-NEAR_DEDUP_SQL = rf"""
+def _components_sql(k: int, percent: int, last: str) -> str:
+    """Components of documents whose sets of k words are at least ``percent`` alike."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents
 ), s AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {k - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k - 1}, 1) + 1)) AS i FROM w WHERE len(w) > 0)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), common AS (
   SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS (
-  SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)
+  SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= {percent} * (x.n + y.n - c)
 ), reach AS (
   SELECT doc_id AS node, doc_id AS other FROM documents
   UNION SELECT r.node, l.v FROM reach r JOIN links l ON l.u = r.other
 )
-SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id,
-  min(r.other) = d.doc_id AS kept
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.other) AS component_id{last}
 FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+
+NEAR_DEDUP_SQL = _components_sql(5, 75, ", min(r.other) = d.doc_id AS kept")
+JACCARD_JOIN_SQL = _components_sql(3, 90, "")
+
+COLLOCATIONS_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)
+), f AS (SELECT lang, m, g, count(*)::HUGEINT AS f, string_split(g, ' ') AS w FROM grams GROUP BY lang, m, g
+), totals AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang
+), candidates AS (SELECT lang, m, g, w, f AS a FROM f WHERE m >= 2 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, k, x.f AS l, y.f AS r, (c.a * c.a * 1000000) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.g = array_to_string(c.w[k + 1:], ' ')
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, g, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g FROM candidates WHERE m = 3) GROUP BY lang, g
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN held h ON h.lang = s.lang AND h.g = s.g WHERE h.longer IS NULL OR 100 * h.longer < 50 * s.a
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept k JOIN totals t ON t.lang = k.lang QUALIFY rank <= 2000
+"""
+
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER w <= 10
+"""
+
 QUALITY_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents
@@ -177,6 +256,9 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_quality_cascade,
         op10_orc_token_ids,
+        op11_jaccard_join,
+        op12_collocations,
+        op13_hard_negatives,
     )
 }
 
@@ -185,4 +267,7 @@ ORACLE = {
     "op4_benchmark_decontamination": DECONTAMINATION_SQL,
     "op8_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op9_quality_cascade": QUALITY_SQL,
+    "op11_jaccard_join": JACCARD_JOIN_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
