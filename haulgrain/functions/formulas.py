@@ -3,7 +3,7 @@
 A formula is the definition of one output column.  The ones here are this library's own: simple,
 documented readings of what the column name says.  A deployment that has its own definitions
 passes them to a plan as ``formulas={"column": "SQL text"}``; they replace the default of the same
-name and may use every column present at that stage.
+name and may use every column present at that stage and every other formula of its group.
 
 All divisions go through ``try_divide`` and all casts through ``try_cast``, so bad input gives
 NULL also under ANSI mode.
@@ -11,10 +11,9 @@ NULL also under ANSI mode.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of the on-time event fact.
@@ -205,6 +204,71 @@ def check_names(overrides: Mapping[str, str] | None, *groups: Mapping[str, str]
         raise ValueError(f"unknown formulas: {unknown}; known are {sorted(known)}")
 
 
+def references(text: str) -> set[str]:
+    """Names of the columns that a formula reads, in lower case, as Spark's own parser sees them.
+
+    Words in quotes, functions, types and variables of lambda functions are no columns; of a field
+    like ``a.b`` the first part counts.
+    """
+    parser = SparkSession.active()._jsparkSession.sessionState().sqlParser()
+    parsed = parser.parseExpression(text)
+    leaves = [(leaf.getClass().getSimpleName(), leaf) for leaf in _items(parsed.collectLeaves())]
+    if any(kind == _IN_LAMBDA for kind, _ in leaves):
+        return _outside(parsed, frozenset())
+    return {_name(leaf) for kind, leaf in leaves if kind == "UnresolvedAttribute"}
+
+
+_IN_LAMBDA = "UnresolvedNamedLambdaVariable"
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _name(leaf) -> str:
+    return leaf.nameParts().head().lower()
+
+
+def _outside(node, variables: frozenset[str]) -> set[str]:
+    """Names in an expression that no lambda around them declares; inside lambdas the parser marks all names alike."""
+    kind = node.getClass().getSimpleName()
+    if kind in ("UnresolvedAttribute", _IN_LAMBDA):
+        return {_name(node)} - variables
+    if kind == "LambdaFunction":
+        return _outside(node.function(), variables | {_name(x) for x in _items(node.arguments())})
+    return set().union(*(_outside(child, variables) for child in _items(node.children())))
+
+
+def layers(formulas: Mapping[str, str]) -> list[list[str]]:
+    """Formula names in steps: a formula reads formulas of earlier steps only.
+
+    A name that is also a formula of the group means that formula's value, wherever it is listed; a
+    formula that reads its own name means the column it replaces.  Formulas that read one another in
+    a circle are an error that names them.
+    """
+    by_name = {name.lower(): name for name in formulas}
+    reads = {name: {by_name[r] for r in references(text) if r in by_name} - {name} for name, text in formulas.items()}
+    done: set[str] = set()
+    steps = []
+    while len(done) < len(reads):
+        ready = [name for name in reads if name not in done and reads[name] <= done]
+        if not ready:
+            raise ValueError(f"formulas in a circle: {' -> '.join(_circle(reads, done))}")
+        steps.append(ready)
+        done.update(ready)
+    return steps
+
+
+def _circle(reads: Mapping[str, set[str]], done: set[str]) -> list[str]:
+    """One circle among the formulas that are not done: from any of them, always to one that it reads."""
+    name = next(n for n in reads if n not in done)
+    path: list[str] = []
+    while name not in path:
+        path.append(name)
+        name = min(reads[name] - done)
+    return [*path[path.index(name) :], name]
+
+
 def apply_formulas(
     df: DataFrame,
     defaults: Mapping[str, str],
@@ -212,17 +276,14 @@ def apply_formulas(
     only: Iterable[str] | None = None,
     **parameters: float,
 ) -> DataFrame:
-    """Add the columns of a formula group in order; later ones may use earlier ones.
+    """Add the columns of a formula group; a formula may use any other of the group (``layers``).
 
-    Formulas that do not mention one another are added in one step.
+    Each step of formulas that don't read one another is one projection.
     """
     overrides = overrides or {}
-    step: dict[str, Column] = {}
-    for name in only or defaults:
-        text = overrides.get(name, defaults[name])
-        if parameters:
-            text = text.format(**{k: f"{v!r}D" for k, v in parameters.items()})
-        if step.keys() & set(re.findall(r"\w+", text)):
-            df, step = df.withColumns(step), {}
-        step[name] = F.expr(text)
-    return df.withColumns(step) if step else df
+    texts = {name: overrides.get(name, defaults[name]) for name in only or defaults}
+    if parameters:
+        texts = {n: t.format(**{k: f"{v!r}D" for k, v in parameters.items()}) for n, t in texts.items()}
+    for step in layers(texts):
+        df = df.withColumns({name: F.expr(texts[name]) for name in step})
+    return df

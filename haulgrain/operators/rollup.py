@@ -77,6 +77,30 @@ def wide_rollup(df: DataFrame, spec: RollupSpec, coherent: bool = False) -> Data
     return rolled.select(*spec.keys, *(F.col(f"_row.{o}").alias(o) for o, _ in attributes), *named)
 
 
+def rollup_of_repeated(df: DataFrame, spec: RollupSpec) -> DataFrame:
+    """``wide_rollup`` for a grain that most rows have to themselves.
+
+    A maximum over text has no fixed size, so Spark reduces it by sorting all rows.  Here the keys are
+    counted first, which it does by hash over the key columns alone and combines before the
+    shuffle.  Rows whose key occurs once are their own result: they are only projected.  The sort is
+    left to the rows of repeated keys.  The keys that repeat meet the rows in one join, broadcast
+    where Spark measures them to be small.  Where most keys repeat this is an additional pass;
+    ``wide_rollup`` is then the better choice.
+    """
+    keys = list(spec.keys)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    marked = join_totals(df, repeated, keys, null_safe=True)
+    rolled = marked.where("_times IS NOT NULL").drop("_times").groupBy(*keys).agg(*spec.aggregates())
+    pairs = spec._pairs
+    single = {o: F.col(s) for role in (spec.attributes, spec.minima, spec.sums, spec.means) for o, s in pairs(role)}
+    single |= {o: F.when(F.col(s).isNotNull(), 1).otherwise(0) for o, s in pairs(spec.distinct_counts)}
+    if spec.row_count:
+        single[spec.row_count] = F.lit(1)
+    kinds = dict(rolled.dtypes)
+    alone = marked.where("_times IS NULL").select(*keys, *(value.cast(kinds[o]).alias(o) for o, value in single.items()))
+    return rolled.unionByName(alone)
+
+
 def distinct_then_sum(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], grain: Sequence[str] = ()
 ) -> DataFrame:

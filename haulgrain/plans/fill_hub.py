@@ -4,8 +4,8 @@ Everything that belongs to a load (shipped and planned totals, statistics, costs
 priority) is aggregated from narrow projections and gathered into one frame with a row per load.
 The items are joined with it once, which also cuts them to the first stage of their load; what
 follows is computed from the cut rows, and joined on the load once more.  Frames that several steps
-read are handed to ``stage``: ``items`` (with their trucks), ``costs``, ``loads`` (all load facts),
-``prepared`` (cut items with all load facts) and ``valued`` (items with their impacts).
+read are handed to ``stage``: ``items`` (with their trucks), ``costs``, ``freight`` and ``priorities`` (by load), ``loads`` (all
+load facts), ``prepared`` (cut items with all load facts) and ``valued`` (items with their impacts).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from ..operators.rollup import (
     wide_rollup,
 )
 from ..operators.skew import join_apart, join_totals
-from ..operators.stage import Stage, no_stage
+from ..operators.stage import Bucketed, Stage, no_stage
 from .columns import CUSTOMER_LEVELS, SUBSECTOR_COUNTS
 
 # Keys of an item.
@@ -239,7 +239,10 @@ def _costs(load_costs: DataFrame) -> DataFrame:
 
 def cost_per_load(load_costs: DataFrame) -> DataFrame:
     """Costs, subsector counts and lane attributes per load, with the mean awarded volume."""
-    rows = _costs(load_costs)
+    return _cost_per_load(_costs(load_costs))
+
+
+def _cost_per_load(rows: DataFrame) -> DataFrame:
     # fixed values: lane columns of the cost rows
     lane = [
         "origin_zone_ship_from_code",
@@ -260,16 +263,28 @@ def cost_per_load(load_costs: DataFrame) -> DataFrame:
 
 def awarded_volume(load_costs: DataFrame) -> DataFrame:
     """Highest awarded volume per load, carrier and service."""
+    return _awarded_volume(_costs(load_costs))
+
+
+def _awarded_volume(rows: DataFrame) -> DataFrame:
     spec = RollupSpec(
         ["load_id", "carr_id", "tms_service_code"],
         attributes={"avg_average_awarded_weekly_volume": "avg_award_weekly_vol_qty"},
     )
-    return wide_rollup(_costs(load_costs), spec)
+    return wide_rollup(rows, spec)
 
 
 def freight_per_load(freight_stats: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Step factor, charge code and statistical units per load."""
+    return _freight_per_load(_freight(freight_stats), formulas)
+
+
+def _freight(freight_stats: DataFrame) -> DataFrame:
     rows = freight_stats.withColumn("load_id", normalize_key("shpmt_id", mode="one"))
+    return rows.select("load_id", "step_per_load_rate", "freight_cost_charge_code", "su_per_load_qty")
+
+
+def _freight_per_load(rows: DataFrame, formulas: Mapping[str, str] | None) -> DataFrame:
     steps = rows.groupBy("load_id").agg(
         F.max("step_per_load_rate").alias("step_factor"),
         F.max("freight_cost_charge_code").alias("max_freight_cost_charge_code"),
@@ -281,8 +296,15 @@ def freight_per_load(freight_stats: DataFrame, formulas: Mapping[str, str] | Non
 
 def load_priority(events: DataFrame, formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Load builder priority per load, where it is positive."""
+    return _load_priority(_priorities(events, formulas))
+
+
+def _priorities(events: DataFrame, formulas: Mapping[str, str] | None) -> DataFrame:
     rows = apply_formulas(events.select("load_id", "load_builder_prty_val"), fx.FILL_PRIORITY, formulas)
-    rows = rows.filter("load_builder_prty_val > 0")
+    return rows.filter("load_builder_prty_val > 0")
+
+
+def _load_priority(rows: DataFrame) -> DataFrame:
     return rows.groupBy("load_id").agg(F.max("load_builder_prty_val").alias("load_builder_prty_val"))
 
 
@@ -302,6 +324,59 @@ def ship_to_hierarchy(
     return lookup(flat, customer_flags, ["customer_lvl3_desc"], ["sambc_flag"])
 
 
+def by_load(
+    delivery_items: DataFrame,
+    events: DataFrame,
+    order_linkage: DataFrame,
+    truck_report: DataFrame,
+    vehicles: DataFrame,
+    load_costs: DataFrame,
+    freight_stats: DataFrame,
+    *,
+    formulas: Mapping[str, str] | None = None,
+    one_truck: bool = True,
+    stage: Stage = no_stage,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Items with their trucks, costs, freight statistics and priorities, all with a load key."""
+    chain = trucks(order_linkage, truck_report, vehicles, formulas)
+    if one_truck:
+        chain = latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
+    items = _with_trucks(normalize_items(delivery_items, formulas), chain, formulas, one_truck)
+    return (
+        stage(items, "items"),
+        stage(_costs(load_costs), "costs"),
+        stage(_freight(freight_stats), "freight"),
+        stage(_priorities(events, formulas), "priorities"),
+    )
+
+
+def load_facts(
+    items: DataFrame,
+    costs: DataFrame,
+    freight: DataFrame,
+    priorities: DataFrame,
+    formulas: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per load of the items with all that is known about it; takes the frames of ``by_load``.
+
+    Every step is an aggregate or a join on the load, so over frames bucketed by it (``Bucketed``)
+    the whole chain runs without an exchange.
+    """
+    loads = load_statistics(items)
+    for frame in (
+        shipped_totals(items),
+        planned_totals(items),
+        _cost_per_load(costs),
+        _freight_per_load(freight, formulas),
+        _load_priority(priorities),
+        final_stage_attr(
+            items, "load_id", "trans_stage_num", ["ship_to_party_id", "ship_to_party_desc"]
+        ),
+    ):
+        loads = loads.join(frame, "load_id", "left")
+    return loads
+
+
 # --- the plan -------------------------------------------------------------------------------
 
 
@@ -337,38 +412,32 @@ def build(
     spreads the few, large business units when their totals are attached.
     """
     check_names(formulas, *FORMULAS)
-    chain = trucks(order_linkage, truck_report, vehicles, formulas)
-    if one_truck:
-        chain = latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
-    items = _with_trucks(normalize_items(delivery_items, formulas), chain, formulas, one_truck)
-    items = stage(items, "items")
-    load_costs = stage(load_costs, "costs")
-
-    loads = load_statistics(items)
-    for frame in (
-        shipped_totals(items),
-        planned_totals(items),
-        cost_per_load(load_costs),
-        freight_per_load(freight_stats, formulas),
-        load_priority(events, formulas),
-        final_stage_attr(
-            items, "load_id", "trans_stage_num", ["ship_to_party_id", "ship_to_party_desc"]
-        ),
-    ):
-        loads = loads.join(frame, "load_id", "left")
-
-    loads = stage(loads, "loads")
-
-    joined = join_totals(items, loads, ["load_id"], "inner")
+    items, costs, freight, priorities = by_load(
+        delivery_items,
+        events,
+        order_linkage,
+        truck_report,
+        vehicles,
+        load_costs,
+        freight_stats,
+        formulas=formulas,
+        one_truck=one_truck,
+        stage=stage,
+    )
+    loads = stage(load_facts(items, costs, freight, priorities, formulas), "loads")
+    if isinstance(stage, Bucketed) and stage.together("items", "loads"):
+        joined = items.join(loads, "load_id", "inner")
+    else:
+        joined = join_totals(items, loads, ["load_id"], "inner")
     joined = joined.filter("trans_stage_num = min_trans_stage_num")
     if not keep_null_keys:
         joined = joined.dropna(subset=ITEM_KEYS)
     # Duplicates only matter here: every aggregate above is indifferent to them.
     joined = joined.distinct()
-    awarded = awarded_volume(load_costs)
+    awarded = _awarded_volume(costs)
     joined = join_totals(joined, awarded, ["load_id", "carr_id", "tms_service_code"])
     hierarchy = ship_to_hierarchy(
-        load_costs, customers, trade_channels, customer_flags, coherent_hierarchy
+        costs, customers, trade_channels, customer_flags, coherent_hierarchy
     )
     joined = join_totals(joined, hierarchy, ["ship_to_party_id"])
     joined = lookup(joined, value_categories, ["tdcval_code"], {"categ_name": "category"})

@@ -26,7 +26,7 @@ from ..functions.periods import parse_date_time
 from ..functions.rules import dispatch_by_code, measurable, on_time_flag, safe_ratio
 from ..operators.dedupe import first_event, last_event_attr
 from ..operators.match import lookup, override_for
-from ..operators.rollup import RollupSpec, wide_rollup
+from ..operators.rollup import RollupSpec, rollup_of_repeated
 from ..operators.skew import join_totals
 from ..operators.stage import Stage, no_stage
 
@@ -239,7 +239,10 @@ def build(
 
 
 def _orders(rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame) -> DataFrame:
-    """Rows with a load and an origin, rolled up to ``KEYS``; every other column is an attribute."""
+    """Rows with a load and an origin, rolled up to ``KEYS``; every other column is an attribute.
+
+    Nearly every event has its ten keys to itself, so only the others are sorted for their maxima.
+    """
     kept = rows.filter(F.col("load_id").isNotNull() & (F.col("origin_zone_code") != ""))
     kept = lookup(
         kept,
@@ -255,7 +258,7 @@ def _orders(rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame
     spec = RollupSpec(KEYS, attributes=renamed).with_remaining_attributes(
         kept, exclude=[*NOT_IN_RESULT, *helpers]
     )
-    return wide_rollup(kept, spec)
+    return rollup_of_repeated(kept, spec)
 
 
 def _promise_of_orders(

@@ -54,13 +54,16 @@ NOT_IN_SHIPMENTS = [
 ]
 
 
+WEEK = "concat_week_year"
+
+
 def lanes(
-    tender_summary: DataFrame, *, weeks: int = WEEKS_KEPT, year_mode: str = "calendar"
+    tender_summary: DataFrame, *, weeks: int | None = WEEKS_KEPT, year_mode: str = "calendar"
 ) -> DataFrame:
     """Tender lanes of the latest weeks, without cost columns and duplicates.
 
     The week filter is applied before the rows are deduplicated, so only the kept weeks are
-    shuffled.
+    shuffled.  ``weeks=None`` gives the lanes of all weeks, for a target partitioned by ``WEEK``.
     """
     rows = tender_summary.drop(*NOT_IN_LANES).withColumnRenamed(
         "region_code", "state_province_code"
@@ -68,7 +71,7 @@ def lanes(
     keyed = rows.withColumn(
         "concat_week_year", year_week_key("week_begin_date", year_mode=year_mode)
     )
-    recent = latest_n_periods(keyed, "concat_week_year", weeks).distinct()
+    recent = (keyed if weeks is None else latest_n_periods(keyed, WEEK, weeks)).distinct()
     return recent.withColumns(
         {
             "calendar_week_num": F.weekofyear("week_begin_date"),
@@ -86,9 +89,15 @@ def shipments(
     match_on: Sequence[str] = ("origin_zone_ship_from_code", "dest_ship_from_code"),
     year_mode: str = "calendar",
     repeat_stops: bool = False,
+    weeks: int | None = None,
 ) -> DataFrame:
     """Loads of the weeks in ``tender_lanes`` with their lane rows and final stop.
 
+    ``load_costs`` may already be the result of ``weekly_loads``, read from a target partitioned by
+    week.  ``weeks`` says that the lanes hold at most so many: the loads are then first cut to these
+    weeks by a broadcast of that many keys, which for such a target prunes the folders of all other
+    weeks at run time.
+
     Loads and lanes meet on the week and on ``match_on``.  ``match_on=()`` meets on the week only,
     which repeats every load for each lane of its week.  Loads are first cut down to the weeks and
     lanes in question, then deduplicated, then joined.  Columns both sides have beyond the join
@@ -96,13 +105,16 @@ def shipments(
     code the highest value of each column is taken; ``repeat_stops=True`` repeats the shipment for
     each of them instead.
     """
-    loads = _loads(load_costs, year_mode)
+    loads = load_costs if WEEK in load_costs.columns else weekly_loads(load_costs, year_mode=year_mode)
     lane_rows = tender_lanes.drop(
         "concat_week_year", "calendar_week_num", "calendar_year_num", "last_update_utc_tmstp"
     ).distinct()
     lane_rows = lane_rows.withColumn(
         "concat_week_year", year_week_key("week_begin_date", year_mode=year_mode)
     )
+    if weeks is not None:
+        recent = tender_lanes.select(F.col(WEEK).alias("_week")).distinct().limit(weeks)
+        loads = loads.join(F.broadcast(recent), loads[WEEK] == recent["_week"], "left_semi")
     keys = ["concat_week_year", *match_on]
     shared = [c for c in lane_rows.columns if c in loads.columns and c not in keys]
     lane_rows = lane_rows.withColumnsRenamed({c: f"lane_{c}" for c in shared})
@@ -131,11 +143,12 @@ def shipments_of_week(
     weeks = rows.groupBy(week.alias("concat_week_year")).agg(
         F.count(F.lit(1)).alias("lane_cnt"), F.sum("accept_cnt").alias("lane_accept_cnt")
     )
-    loads = join_totals(_loads(load_costs, year_mode).distinct(), weeks, ["concat_week_year"], "inner")
+    loads = join_totals(weekly_loads(load_costs, year_mode=year_mode).distinct(), weeks, ["concat_week_year"], "inner")
     return _with_stops(loads, locations, repeat_stops)
 
 
-def _loads(load_costs: DataFrame, year_mode: str) -> DataFrame:
+def weekly_loads(load_costs: DataFrame, *, year_mode: str = "calendar") -> DataFrame:
+    """Loads with their week, without costs; what a target partitioned by ``WEEK`` holds."""
     loads = load_costs.withColumn("load_id", normalize_key("load_id", mode="one"))
     return loads.drop(*NOT_IN_SHIPMENTS).withColumn(
         "concat_week_year", year_week_key("actual_goods_issue_date", year_mode=year_mode)
