@@ -745,7 +745,9 @@ LEFT JOIN {_ONE_STOP} ON final_stop_postal_code = postal_code
 
 ORACLE["mart_tender_shipments_repeated"] = f"""
 WITH {_TENDER_SOURCES}, {_TENDER_LANES}, {_TENDER_LOADS}
-SELECT load_id, concat_week_year, customer_desc, accept_cnt, final_stop_postal_code, stop_name
+SELECT * EXCLUDE (postal_code) REPLACE (
+    strftime(actual_goods_issue_date, '%Y-%m-%d') AS actual_goods_issue_date,
+    strftime(week_begin_date, '%Y-%m-%d') AS week_begin_date)
 FROM loads l JOIN tender_lanes t USING (concat_week_year, origin_zone_ship_from_code, dest_ship_from_code)
 LEFT JOIN (SELECT DISTINCT postal_code, stop_name FROM locations) ON final_stop_postal_code = postal_code
 """
@@ -898,7 +900,7 @@ def _columns(plain: list[str], rounded: list[str]) -> str:
     return ", ".join([*plain, *(f"round({c}, 6) AS {c}" for c in rounded)])
 
 
-_HUB_COLUMNS = _columns(
+_HUB_PLAIN = (
     """load_id load_gbu_id material_doc_num ship_to_party_id tdcval_code dlvry_item_num
     vfr_freight_type_code ship_cond_desc trans_stage_num dlvry_id order_num carr_id
     ordered_shipped_flag truck_type_code min_trans_stage_flag shipped_load_cnt palletsshipped
@@ -925,31 +927,40 @@ _HUB_COLUMNS = _columns(
     customer_lvl1_desc customer_lvl3_code customer_lvl5_code customer_lvl5_desc
     customer_lvl12_code customer_lvl12_desc trade_chanl_id max_net_weight_order_qty
     transport_num linkage_item_num linkage_kind_code leo_tour_id release_dttm
-    truck_vehicle_type_code vehicle_true_max_vol_qty vehicle_true_max_weight_qty""".split(),
+    truck_vehicle_type_code vehicle_true_max_vol_qty vehicle_true_max_weight_qty""".split()
+)
+_HUB_ROUNDED = (
     """avg_award_weekly_vol_qty weight_vol_plan_qty density_rate load_material_weight_qty
     load_material_vol_qty load_density_rate pallet_load_qty pallet_impact_amt opertng_space_impact_amt net_vol_fill_rate
     net_density_order_qty calc_std_weight_qty cut_impact_rate prod_density_gap_impact_pct
-    hopade_amt_dec total_vf_optny_amt""".split(),
+    hopade_amt_dec total_vf_optny_amt""".split()
 )
+_HUB_COLUMNS = _columns(_HUB_PLAIN, _HUB_ROUNDED)
 
 ORACLE["mart_fill_hub"] = f"WITH {_HUB_SOURCES}, {_HUB} SELECT {_HUB_COLUMNS} FROM hub"
 
+# columns of the load rollup with a rule of their own; all others of the hub are the highest of their rows
+_FILL_LOAD_OWN = """load_id gbu_desc gbu_code load_gbu_id fiscal_year_num fiscal_year_perd_num net_weight_qty
+    net_vol_qty total_vf_optny_amt total_gross_weight_qty oblb_gross_weight_plan_qty total_gross_vol_qty
+    oblb_gross_vol_plan_qty pallet_spot_qty floor_position_qty pallet_qty theortc_pallet_qty
+    load_material_weight_qty load_material_vol_qty gross_weight_qty gross_vol_qty cut_impact_rate
+    drf_last_truck_amt glb_segment_impact_cat_ld_amt hopade_amt max_orders_non_drp_amt
+    max_orders_incrmtl_amt""".split()
+_FILL_LOAD_MAX = ", ".join(f"max({c}) AS {c}" for c in [*_HUB_PLAIN, *_HUB_ROUNDED] if c not in _FILL_LOAD_OWN)
+_FILL_LOAD_BUCKETS = """oblb_gross_weight_plan_qty oblb_gross_weight_shipped_qty oblb_net_weight_plan_qty
+    oblb_gross_vol_plan_qty oblb_gross_vol_shipped_qty oblb_net_vol_plan_qty""".split()
+_FILL_LOAD_MAX += "".join(f", max(coalesce({c}, 0)) AS {c}_load" for c in _FILL_LOAD_BUCKETS)
+
 _FILL_LOAD_COLUMNS = _columns(
-    """load_id gbu_desc gbu_code load_gbu_id carr_id ship_cond_desc customer_lvl3_desc
-    fiscal_year_num fiscal_year_perd_num net_weight_qty net_vol_qty gross_weight_qty
-    total_gross_weight_qty oblb_gross_weight_plan_qty oblb_gross_weight_plan_qty_load
-    pallet_spot_qty floor_position_qty pallet_qty theortc_pallet_qty hopade_amt
-    max_orders_incrmtl_amt shipped_load_cnt tfs_su_per_load_qty tfs_step_factor""".split(),
-    """load_material_weight_qty load_material_vol_qty cut_impact_rate total_vf_optny_amt
-    agg_gross_weight_qty agg_gross_vol_qty agg_net_weight_qty agg_net_vol_qty
-    tfs_total_cost_amt""".split(),
+    [*_HUB_PLAIN, *(f"{c}_load" for c in _FILL_LOAD_BUCKETS), "tfs_su_per_load_qty", "tfs_step_factor"],
+    [*_HUB_ROUNDED, "agg_gross_weight_qty", "agg_gross_vol_qty", "agg_net_weight_qty", "agg_net_vol_qty", "tfs_total_cost_amt"],
 )
 
 ORACLE["mart_fill_load"] = f"""
 WITH {_HUB_SOURCES}, {cte('unit_costs')}, {_HUB}, {_UNIT_COSTS},
 gross AS (
   SELECT load_id, sum(a) AS total_gross_weight_qty, sum(b) AS oblb_gross_weight_plan_qty,
-    sum(c) AS total_gross_vol_qty, sum(e) AS pallet_spot_qty
+    sum(c) AS total_gross_vol_qty, sum(d) AS oblb_gross_vol_plan_qty, sum(e) AS pallet_spot_qty
   FROM (SELECT DISTINCT load_id, total_gross_weight_qty AS a, oblb_gross_weight_plan_qty AS b,
     total_gross_vol_qty AS c, oblb_gross_vol_plan_qty AS d, pallet_spot_qty AS e FROM hub)
   GROUP BY 1),
@@ -960,6 +971,9 @@ positions AS (
 material AS (
   SELECT load_id, load_gbu_id, sum(load_material_weight_qty) AS load_material_weight_qty,
     sum(load_material_vol_qty) AS load_material_vol_qty, sum(gross_weight_qty) AS gross_weight_qty,
+    sum(gross_vol_qty) AS gross_vol_qty, sum(drf_last_truck_amt) AS drf_last_truck_amt,
+    sum(glb_segment_impact_cat_ld_amt) AS glb_segment_impact_cat_ld_amt,
+    sum(max_orders_non_drp_amt) AS max_orders_non_drp_amt,
     sum(cut_impact_rate) AS cut_impact_rate, sum(hopade_amt) AS hopade_amt,
     sum(max_orders_incrmtl_amt) AS max_orders_incrmtl_amt,
     max(plan_net_weight_qty) AS pw, max(plan_net_vol_qty) AS pv
@@ -970,12 +984,10 @@ material AS (
     FROM hub)
   GROUP BY 1, 2),
 units_of_load AS (
-  SELECT load_id, gbu_desc, gbu_code, load_gbu_id, max(carr_id) AS carr_id,
-    max(ship_cond_desc) AS ship_cond_desc, max(customer_lvl3_desc) AS customer_lvl3_desc,
+  SELECT load_id, gbu_desc, gbu_code, load_gbu_id, {_FILL_LOAD_MAX},
     max(fiscal_year_num::INTEGER) AS fiscal_year_num,
     max(fiscal_year_perd_num::INTEGER) AS fiscal_year_perd_num,
-    max(coalesce(oblb_gross_weight_plan_qty, 0)) AS oblb_gross_weight_plan_qty_load,
-    max(shipped_load_cnt) AS shipped_load_cnt, sum(net_weight_qty) AS net_weight_qty,
+    sum(net_weight_qty) AS net_weight_qty,
     sum(net_vol_qty) AS net_vol_qty, sum(total_vf_optny_amt) AS total_vf_optny_amt
   FROM hub GROUP BY 1, 2, 3, 4),
 fill_load AS (
@@ -1126,3 +1138,46 @@ ORACLE["job_tenders"] = ORACLE["mart_tender_shipments_repeated"]
 ORACLE["job_interplant"] = ORACLE["mart_interplant"]
 ORACLE["job_fill_load"] = ORACLE["mart_fill_load"]
 ORACLE["job_scorecard"] = ORACLE["mart_scorecard"]
+
+# --- targets, formulas and stages -----------------------------------------------------------
+
+ORACLE["overwrite_survives_failure"] = """
+SELECT o_orderkey, o_orderstatus, o_custkey + 1 AS o_custkey FROM orders WHERE o_orderstatus <> 'P'
+"""
+
+ORACLE["formula_graph"] = """
+WITH g AS (SELECT *, l_extendedprice + 1 AS gross FROM lineitem),
+n AS (SELECT *, gross - gross * l_discount AS exact FROM g)
+SELECT l_orderkey, l_linenumber, lower(l_returnflag) AS l_returnflag, round(exact, 6) AS net,
+  'net ' || lower(l_returnflag) || ' ' || CASE WHEN exact > 50000 THEN 'high' ELSE 'low' END AS label
+FROM n
+"""
+
+ORACLE["tender_lanes_newest_folders"] = ORACLE["mart_tender_lanes"]
+ORACLE["tender_shipments_pruned"] = ORACLE["mart_tender_shipments"]
+
+ORACLE["fill_loads_bucketed"] = f"""
+WITH {_HUB_SOURCES}, {_HUB}
+SELECT s.load_id, shipped_load_cnt, min_stage AS min_trans_stage_num, pallet_shipped_qty AS avg_palletsshipped,
+  sum_weight AS sum_material_weight_qty, sum_vol AS sum_material_vol_qty,
+  shipped_net_weight_qty, shipped_net_vol_qty, shipped_gross_weight_qty, shipped_gross_vol_qty,
+  plan_net_weight_qty, plan_net_vol_qty, plan_gross_weight_qty, plan_gross_vol_qty,
+  actual_carr_total_trans_cost_usd_amt, tms_service_code, step_factor, su_per_load_cnt,
+  max_freight_cost_charge_code, load_builder_prty_val, final_ship_to_party_id
+FROM stats s LEFT JOIN planned p ON s.load_id = p.load_id LEFT JOIN shipped sh ON s.load_id = sh.load_id
+LEFT JOIN cost c ON s.load_id = c.load_id LEFT JOIN freight f ON s.load_id = f.load_id
+LEFT JOIN priority pr ON s.load_id = pr.load_id LEFT JOIN final_stop fs ON s.load_id = fs.load_id
+"""
+
+ORACLE["stage_figures"] = f"""
+WITH {_HUB_SOURCES}, {_HUB},
+counted AS (
+  SELECT 'delivery_items' AS stage, count(*) AS rows, 0 AS null_keys FROM delivery_items
+  UNION ALL SELECT 'items', count(*), count(*) FILTER (WHERE load_id IS NULL OR load_gbu_id IS NULL) FROM trucked
+  UNION ALL SELECT 'costs', count(*), count(*) FILTER (WHERE load_id IS NULL) FROM load_costs
+  UNION ALL SELECT 'freight', count(*), count(*) FILTER (WHERE shpmt_id IS NULL) FROM freight_stats
+  UNION ALL SELECT 'priorities', count(*), count(*) FILTER (WHERE load_id IS NULL) FROM on_time_events
+    WHERE load_builder_prty_val::INT > 0)
+SELECT stage, 'rows' AS figure, rows AS value FROM counted UNION ALL SELECT stage, 'null_keys', null_keys FROM counted
+UNION ALL SELECT 'items', 'fan_out', (SELECT count(*) FROM trucked) // (SELECT count(*) FROM delivery_items)
+"""

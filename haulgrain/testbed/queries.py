@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -12,13 +13,17 @@ from .. import jobs
 from ..functions import keys as k
 from ..functions import periods as p
 from ..functions import rules as r
+from ..functions import formulas as fx
+from ..functions.formulas import apply_formulas
 from ..operators import dedupe, match, reshape, rollup
+from ..operators.figures import Figures, fan_out
 from ..operators.skew import join_totals
-from ..operators.stage import shared_folder, written
+from ..operators.stage import Bucketed, shared_folder, written
 from ..plans import fill_hub, fill_load, loading, on_time, scorecard, tender
 from ..session import tune
 from ..sources.catalog import SourceCatalog, read_source
 from ..sources.sink import conform, overwrite_table
+from ..sources.versions import publish, read_current, read_newest
 from .frames import FRAMES, frame, frames, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,6 +517,37 @@ def overwrite_read_back(spark, sf):
     return read_source(spark, "on_time_events", catalog, refresh=True)
 
 
+@query
+def overwrite_survives_failure(spark, sf):
+    """Orders replaced by rows of their own target, then by a write that fails half-way: the second content stays."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    catalog = SourceCatalog({"on_time_events": path})
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    overwrite_table(orders, path)
+    own = read_source(spark, "on_time_events", catalog)
+    overwrite_table(own.where("o_orderstatus <> 'P'").withColumn("o_custkey", F.col("o_custkey") + 1), path)
+    bad = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("stops here"))).otherwise(F.col("o_custkey"))
+    with contextlib.suppress(Exception):
+        overwrite_table(read_source(spark, "on_time_events", catalog).withColumn("o_custkey", bad), path)
+    return read_source(spark, "on_time_events", catalog)
+
+
+@query
+def formula_graph(spark, sf):
+    """Formulas that use later ones, an override that does, and one that replaces the column it reads."""
+    defaults = {
+        "net": "gross - rebate",
+        "gross": "l_extendedprice + 1",
+        "rebate": "gross * l_discount",
+        "label": "concat('net ', l_returnflag)",
+        "l_returnflag": "lower(l_returnflag)",
+    }
+    overrides = {"label": "concat('net ', l_returnflag, ' ', CASE WHEN net > 50000 THEN 'high' ELSE 'low' END)"}
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag")
+    out = apply_formulas(rows, defaults, overrides).select("l_orderkey", "l_linenumber", "l_returnflag", "label", "net")
+    return out.withColumn("net", F.round("net", 6))
+
+
 # --- parts of the fill plan -----------------------------------------------------------------
 
 
@@ -612,33 +648,58 @@ def mart_tender_lanes(spark, sf):
 
 def _tender_shipments(spark, sf, **options):
     costs, summary, locations = frames(spark, sf, "load_costs", "tender_summary", "locations")
-    return tender.shipments(costs, tender.lanes(summary), locations, **options)
+    lanes = written(spark)(tender.lanes(summary), "lanes")
+    return tender.shipments(costs, lanes, locations, **options)
+
+
+def _with_day_texts(shipments: DataFrame) -> DataFrame:
+    days = ("actual_goods_issue_date", "week_begin_date")
+    return shipments.drop("last_update_utc_tmstp").withColumns({d: F.date_format(d, "yyyy-MM-dd") for d in days})
 
 
 @query
 def mart_tender_shipments(spark, sf):
-    rows = _tender_shipments(spark, sf).drop("last_update_utc_tmstp")
-    days = ("actual_goods_issue_date", "week_begin_date")
-    return rows.withColumns({d: F.date_format(d, "yyyy-MM-dd") for d in days})
+    return _with_day_texts(_tender_shipments(spark, sf))
 
 
 @query
 def mart_tender_shipments_repeated(spark, sf):
     """Every stop of a postal code repeats the shipment."""
-    rows = _tender_shipments(spark, sf, repeat_stops=True)
-    return rows.select("load_id", "concat_week_year", "customer_desc", "accept_cnt", "final_stop_postal_code", "stop_name")
+    return _with_day_texts(_tender_shipments(spark, sf, repeat_stops=True))
 
 
 @query
 def mart_tender_shipments_by_week(spark, sf):
     """Shipments with all lanes of their week, counted per load."""
     costs, summary, locations = frames(spark, sf, "load_costs", "tender_summary", "locations")
-    rows = tender.shipments_of_week(costs, tender.lanes(summary), locations)
+    rows = tender.shipments_of_week(costs, written(spark)(tender.lanes(summary), "lanes"), locations)
     return rows.groupBy("concat_week_year", "load_id").agg(
         F.sum("lane_cnt").alias("rows"), F.sum("lane_accept_cnt").alias("accepted")
     )
 
 
+@query
+def tender_lanes_newest_folders(spark, sf):
+    """Lanes of all weeks in a target partitioned by week; the 13 newest folders are read back."""
+    path = f"{shared_folder(spark)}/lanes-{uuid.uuid4().hex}"
+    publish(tender.lanes(frame(spark, sf, "tender_summary"), weeks=None).drop("last_update_utc_tmstp"), path, [tender.WEEK])
+    lanes = read_newest(spark, path, tender.WEEK, tender.WEEKS_KEPT)
+    day = F.date_format("week_begin_date", "yyyy-MM-dd").alias("week_begin_date")
+    return lanes.select(day, *(c for c in lanes.columns if c != "week_begin_date"))
+
+
+@query
+def tender_shipments_pruned(spark, sf):
+    """Shipments from loads and lanes partitioned by week: only folders of the newest weeks are read."""
+    own = f"{shared_folder(spark)}/weeks-{uuid.uuid4().hex}"
+    costs, summary, locations = frames(spark, sf, "load_costs", "tender_summary", "locations")
+    publish(tender.lanes(summary, weeks=None), f"{own}/lanes", [tender.WEEK])
+    publish(tender.weekly_loads(costs), f"{own}/loads", [tender.WEEK])
+    lanes = read_newest(spark, f"{own}/lanes", tender.WEEK, tender.WEEKS_KEPT)
+    loads = read_current(spark, f"{own}/loads")
+    return _with_day_texts(tender.shipments(loads, lanes, locations, weeks=tender.WEEKS_KEPT))
+
+
 HUB_SOURCES = [
     "delivery_items",
     "on_time_events",
@@ -796,51 +857,64 @@ def mart_fill_hub(spark, sf):
     return build_fill_hub(spark, sf).select(*HUB_PLAIN, *_rounded(*HUB_ROUNDED))
 
 
-FILL_LOAD_PLAIN = [
-    *fill_load.KEYS,
-    "carr_id",
-    "ship_cond_desc",
-    "customer_lvl3_desc",
-    "fiscal_year_num",
-    "fiscal_year_perd_num",
-    "net_weight_qty",
-    "net_vol_qty",
-    "gross_weight_qty",
-    "total_gross_weight_qty",
-    "oblb_gross_weight_plan_qty",
-    "oblb_gross_weight_plan_qty_load",
-    "pallet_spot_qty",
-    "floor_position_qty",
-    "pallet_qty",
-    "theortc_pallet_qty",
-    "hopade_amt",
-    "max_orders_incrmtl_amt",
-    "shipped_load_cnt",
-    "tfs_su_per_load_qty",
-    "tfs_step_factor",
-]
-FILL_LOAD_ROUNDED = [
-    "load_material_weight_qty",
-    "load_material_vol_qty",
-    "cut_impact_rate",
-    "total_vf_optny_amt",
-    "agg_gross_weight_qty",
-    "agg_gross_vol_qty",
-    "agg_net_weight_qty",
-    "agg_net_vol_qty",
-    "tfs_total_cost_amt",
-]
+BY_LOAD_SOURCES = ["delivery_items", "on_time_events", "order_linkage", "truck_report", "vehicles", "load_costs", "freight_stats"]
+BY_LOAD = ("items", "costs", "freight", "priorities")
+
+
+def bucketed_loads(spark, sf, buckets: int = 8) -> DataFrame:
+    stage = Bucketed(spark, {name: ["load_id"] for name in BY_LOAD}, buckets)
+    return fill_hub.load_facts(*fill_hub.by_load(*frames(spark, sf, *BY_LOAD_SOURCES), stage=stage))
+
+
+@query
+def fill_loads_bucketed(spark, sf):
+    """All facts of a load from sources bucketed by it: one shuffle while they are written, none after."""
+    facts = bucketed_loads(spark, sf)
+    return facts.select(
+        "load_id",
+        "shipped_load_cnt",
+        "min_trans_stage_num",
+        "avg_palletsshipped",
+        "sum_material_weight_qty",
+        "sum_material_vol_qty",
+        *(f"{kind}_{way}_{what}_qty" for kind in ("shipped", "plan") for way in ("net", "gross") for what in ("weight", "vol")),
+        "actual_carr_total_trans_cost_usd_amt",
+        "tms_service_code",
+        "step_factor",
+        "su_per_load_cnt",
+        "max_freight_cost_charge_code",
+        "load_builder_prty_val",
+        "final_ship_to_party_id",
+    )
+
+
+@query
+def stage_figures(spark, sf):
+    """Rows, NULL keys and fan-out of the frames of the fill plan, counted while they are written."""
+    figures = Figures({name: ["load_id", "load_gbu_id"] for name in BY_LOAD})
+    sources = frames(spark, sf, *BY_LOAD_SOURCES)
+    sources[0] = figures.watch(sources[0], "delivery_items")
+    fill_hub.by_load(*sources, stage=figures.stage(written(spark, *BY_LOAD)))
+    counted = figures.frame(spark)
+    fan = fan_out(counted, "delivery_items", "items").select(F.lit("items").alias("stage"), F.lit("fan_out").alias("figure"), F.col("fan_out").cast("bigint").alias("value"))
+    return counted.union(fan)
+
+
+# every column of the hub under its name, and those that only the load rollup has
+FILL_LOAD_PLAIN = [*HUB_PLAIN, *fx.FILL_BUCKETS, "tfs_su_per_load_qty", "tfs_step_factor"]
+FILL_LOAD_ROUNDED = [*HUB_ROUNDED, *fx.FILL_SHARES, "tfs_total_cost_amt"]
 
 
 @query
 def mart_fill_load(spark, sf):
-    result = fill_load.build(build_fill_hub(spark, sf), frame(spark, sf, "unit_costs"))
+    stage = written(spark, "first_stage_items")
+    result = fill_load.build(build_fill_hub(spark, sf), frame(spark, sf, "unit_costs"), stage=stage)
     return result.select(*FILL_LOAD_PLAIN, *_rounded(*FILL_LOAD_ROUNDED))
 
 
 def build_scorecard(spark, sf, **options) -> DataFrame:
     sources = ["tender_weekly", "on_time_view", "loading_view", "fill_view"]
-    stage = written(spark, "fallback_matched")
+    stage = written(spark, "tender_facts", "fallback_matched")
     return scorecard.build(*frames(spark, sf, *sources), stage=stage, **options)
 
 
@@ -900,8 +974,7 @@ def job_tenders(spark, sf):
     outputs = ["tender_lanes", "tender_shipments"]
     catalog = _catalog(spark, sf, ["tender_summary", "load_costs", "locations"], outputs)
     jobs.load_tenders(spark, catalog, shipment_options={"repeat_stops": True})
-    rows = read_source(spark, "tender_shipments", catalog, refresh=True)
-    return rows.select("load_id", "concat_week_year", "customer_desc", "accept_cnt", "final_stop_postal_code", "stop_name")
+    return _with_day_texts(read_source(spark, "tender_shipments", catalog, refresh=True))
 
 
 @query
