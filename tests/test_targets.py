@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from haulgrain import jobs
 from haulgrain.functions.formulas import apply_formulas, layers, references
 from haulgrain.operators.figures import Figures, fan_out
+from haulgrain.operators.rollup import RollupSpec, rollup_of_repeated, wide_rollup
 from haulgrain.operators.stage import Bucketed, no_stage, written
 from haulgrain.operators.store import StageStore, fingerprint
 from haulgrain.plans import fill_hub, fill_load, tender
@@ -226,3 +227,30 @@ def test_formula_order_does_not_matter(spark):
 def test_a_circle_of_formulas_is_named(spark):
     with pytest.raises(ValueError, match="b -> c -> b|c -> b -> c"):
         layers({"a": "b", "b": "c + 1", "c": "b"})
+
+
+# --- rollup of repeated keys
+
+
+def test_rollup_of_repeated_keys_is_the_plain_rollup(spark):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 7 > 0, (F.col("id") % 150).cast("string")).alias("k"),
+        (F.col("id") % 3).alias("j"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("t"), F.col("id"))).alias("t"),
+        F.when(F.col("id") % 4 > 0, F.col("id").cast("int")).alias("n"),
+        F.col("id").cast("decimal(9,2)").alias("d"),
+    )
+    spec = RollupSpec(["k", "j"], attributes=["t"], minima={"low": "n"}, sums={"n": "n", "d": "d"}, means={"mean": "n"}, distinct_counts={"kinds": "n"}, row_count="rows")
+    plain, split = wide_rollup(rows, spec), rollup_of_repeated(rows, spec)
+    assert split.dtypes == plain.dtypes
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    assert rollup_of_repeated(rows.limit(0), spec).count() == 0
+
+
+def test_on_time_sorts_only_rows_of_repeated_keys(spark):
+    plan = q.QUERIES["mart_on_time"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    wide = [line for line in plan.split("\n") if "Aggregate [order_num" in line and "max(" in line]
+    assert wide
+    # only rows that meet a key counted more than once
+    below = plan[plan.index(wide[0]) :].split("\n")[1:4]
+    assert any("Join Inner" in line for line in below)
