@@ -13,22 +13,27 @@ TOKENIZER = "piece_bpe_32k.model"
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject; null and empty texts and repeated rows stay."""
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later runs of repeated lines; one that loses all its words goes, one that had none stays."""
     return line_dedup.documents_without_repeated_lines(docs)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; rows without an id, and texts without words, all stay."""
     return minhash.one_of_each_group(docs)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item; null and empty texts stay."""
     return wumanber.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of piece ids per document, with the text decoded from them; a null text has no ids."""
     rows = sentencepiece_fst.encode(docs, public_tokenizers.path(TOKENIZER))
     return rows.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_pieces"), "decoded", "round_trip")
 
