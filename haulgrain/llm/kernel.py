@@ -7,17 +7,23 @@ so memory does not depend on the size of an Arrow batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _GRAM = np.uint64(0xD1342543DE82EF95)
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # not on glibc: memory stays with the worker
+    _libc = None
+
 SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -48,6 +54,14 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         end = max(row + 1, int(np.searchsorted(place, place[row] + limit, "right")) - 1)
         yield row, end, data[place[row] : place[end]], place[row : end + 1] - place[row]
         row = end
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; a worker that lives on would keep what its largest chunk took."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def spans(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,8 +116,10 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
     """Running polynomial hash of the bytes modulo 2^64; ``span_hash`` reads any span from it."""
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * _power("up", _BASE, len(buf)), out=out[1:])
-    return out
+    out[1:] = buf
+    out[1:] += np.uint64(1)
+    out[1:] *= _power("up", _BASE, len(buf))
+    return np.cumsum(out, out=out)
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
