@@ -12,7 +12,7 @@ def space_words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
-def near_components(docs, k=5):
+def near_components(docs, k=5, percent=75):
     """{(doc_id, text): (set size, component)} by comparing every pair."""
     sets = {}
     for doc_id, text in docs:
@@ -32,7 +32,7 @@ def near_components(docs, k=5):
     for i, a in enumerate(ids):
         for b in ids[:i]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 75 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
     return {d: (len(sets[d]), root(d)) for d in ids}

@@ -17,7 +17,7 @@ LLM = sorted(n for n in entry.queries() if n.startswith("op"))
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return c
 
@@ -31,8 +31,8 @@ def rows(spark, name):
     return entry.queries()[name](spark, SF).collect()
 
 
-def test_ten_operators_and_the_pipeline():
-    assert {n.split("_")[0] for n in LLM} == {f"op{i}" for i in range(1, 11)} and len(LLM) == 10
+def test_thirteen_operators_and_the_pipeline():
+    assert {n.split("_")[0] for n in LLM} == {f"op{i}" for i in range(1, 14)} and len(LLM) == 13
     assert "pipeline" in entry.queries()
 
 
@@ -161,3 +161,9 @@ def test_pipeline_stage_by_stage(spark, con, docs):
 def test_pipeline_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "ids", "n_pieces", "decoded", "round_trip"] and got.count() > 50
+
+
+def test_pipeline_run_on_an_empty_table(spark, tmp_path):
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0 if name == "documents" else 50).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
