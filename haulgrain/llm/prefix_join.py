@@ -13,13 +13,16 @@ lists become, never which links are found.
 
 Only components are wanted, so a list of near copies needs no pair of each two.  First stars are drawn:
 each list's centre meets the others, in turns that go on as long as they find links.  What then still
-joins several components is finished exactly: short lists by joining their groups with one another, the
-nodes of long lists by a second grouped prefix join, in the order of their real document frequencies.
+joins several components is finished exactly: lists are parted by size class, short ones are joined group
+by group, and the nodes of long ones go through a second grouped prefix join, in the order of their real
+document frequencies.  Before any text is fetched, a pair of groups must also fit by all that their
+prefixes have in common (``fitting``).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,10 +40,10 @@ SIMILARITY_PCT = 90
 #: shingles with a hash below are counted: an eighth
 COUNTED = np.uint64(1 << 61)
 #: a counted shingle is frequent if more documents have it; doubled until at most MOST_FREQUENT are (8 MB)
-FREQUENT = 64
+FREQUENT = 32
 MOST_FREQUENT = 1 << 20
-#: lists of at most so many groups are joined pair by pair
-SHORT_LIST = 32
+#: lists of at most so many groups of one size class and its neighbour are joined pair by pair
+SHORT_LIST = 256
 LEAST_TURNS = 2
 #: turns go on while at least one in so many pairs is a link
 PAIRS_A_LINK = 10
@@ -173,14 +176,36 @@ def _fits(x: str, y: str, percent: int) -> Column:
 
 
 def grouped(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (grp, node, n_shingles, key, component) and lists (shingle, grp, n_shingles, place) of nodes.
+    """Members (grp, node, n_shingles, key, component) and heads (grp, n_shingles, alone, prefix) of nodes.
 
-    ``nodes`` has node, n_shingles, key, component, prefix and prefix_key.  ``place`` counts from 1.
+    ``nodes`` has node, n_shingles, key, component, prefix, prefix_key and alone: how many shingles, of
+    this node only, stand before the prefix.
     """
-    named = nodes.groupBy("n_shingles", "prefix_key").agg(F.min("node").alias("grp"), F.first("prefix").alias("prefix"))
-    members = nodes.drop("prefix").join(named.select("n_shingles", "prefix_key", "grp"), ["n_shingles", "prefix_key"])
-    lists = named.select("grp", "n_shingles", F.posexplode("prefix").alias("place", "shingle"))
-    return members.select("grp", "node", "n_shingles", "key", "component"), lists.withColumn("place", F.col("place") + 1)
+    heads = nodes.groupBy("n_shingles", "prefix_key", "alone").agg(F.min("node").alias("grp"), F.first("prefix").alias("prefix"))
+    named = heads.select("n_shingles", "prefix_key", "alone", "grp")
+    members = nodes.drop("prefix").join(named, ["n_shingles", "prefix_key", "alone"])
+    return members.select("grp", "node", "n_shingles", "key", "component"), heads.select("grp", "n_shingles", "alone", "prefix")
+
+
+def lists_of(heads: DataFrame) -> DataFrame:
+    """One row (shingle, grp, n_shingles, place) per shingle of a prefix; places count from 1."""
+    rows = heads.select("grp", "n_shingles", "alone", F.posexplode("prefix").alias("at", "shingle"))
+    return rows.select("shingle", "grp", "n_shingles", (F.col("alone") + F.col("at") + 1).alias("place"))
+
+
+def fitting(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Those pairs of groups (g, h) whose sets can be similar enough by their whole prefixes; g = h always can.
+
+    Behind the last shingle that both prefixes have, at most what is left of the shorter rest can be
+    common to both.
+    """
+    x = heads.select(F.col("grp").alias("g"), F.struct("n_shingles", "alone", "prefix").alias("x"))
+    y = heads.select(F.col("grp").alias("h"), F.struct("n_shingles", "alone", "prefix").alias("y"))
+    both = F.array_intersect("x.prefix", "y.prefix")
+    met = pairs.join(x, "g").join(y, "h").withColumn("both", both).withColumn("last", F.element_at("both", -1))
+    left = [F.col(f"{s}.n_shingles") - F.col(f"{s}.alone") - F.array_position(F.col(f"{s}.prefix"), F.col("last")) for s in "xy"]
+    enough = (100 + percent) * (F.size("both") + F.least(*left)) >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    return met.where((F.col("g") == F.col("h")) | ((F.size("both") > 0) & enough)).select("g", "h")
 
 
 def shared_lists(lists: DataFrame) -> DataFrame:
@@ -205,12 +230,13 @@ def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return _named(met)
 
 
-def star_pairs(lists: DataFrame, members: DataFrame, turn: int, percent: int) -> DataFrame:
+def star_pairs(lists: DataFrame, members: DataFrame, heads: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of the first node of each list's centre with the nodes of the list's other groups; also inside groups."""
     order = F.col("grp") if turn == 1 else F.xxhash64("shingle", "grp", F.lit(turn))
     centre = lists.groupBy("shingle").agg(F.min(F.struct(order.alias("turn"), "grp", "n_shingles", "place")).alias("c"))
-    met = lists.join(centre, "shingle").withColumn("x", F.struct("grp", "n_shingles", "place")).where((F.col("grp") != F.col("c.grp")) & _fits("x", "c", percent))
-    groups = met.select(F.col("c.grp").alias("g"), F.col("grp").alias("h")).distinct()
+    met = lists.join(centre, "shingle").withColumn("x", F.struct("grp", "n_shingles", "place"))
+    met = met.where((F.col("grp") != F.col("c.grp")) & _fits("x", "c", percent))
+    groups = fitting(met.select(F.col("c.grp").alias("g"), F.col("grp").alias("h")).distinct(), heads, percent)
     first = members.where("node = grp").select(F.col("grp").alias("g"), F.struct("node", "n_shingles", "key").alias("x"), F.col("component").alias("c"))
     others = members.select(F.col("grp").alias("h"), F.struct("node", "n_shingles", "key").alias("y"), "component")
     if turn == 1:
@@ -218,11 +244,29 @@ def star_pairs(lists: DataFrame, members: DataFrame, turn: int, percent: int) ->
     return _named(groups.join(first, "g").join(others, "h").where("c <> component"))
 
 
-def list_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of groups (g, h), g < h, that stand in one list and fit."""
-    x, y = lists.alias("x"), lists.alias("y")
+def classed(lists: DataFrame, percent: int) -> DataFrame:
+    """Open lists parted by size: (shingle, size_class, ...) with the number ``f`` of groups in each part.
+
+    A group stands in the part of its own class and in the next one, so two groups that fit by size meet
+    in the part of the larger one's class.  Parts with one component are left out.
+    """
+    width = math.log(100 / percent) * 1.01 if percent < 100 else 1e-9
+    own = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(width))
+    rows = lists.drop("f").withColumn("own", own).withColumn("size_class", F.explode(F.array("own", F.col("own") + 1)))
+    parts = rows.groupBy("shingle", "size_class").agg(
+        F.count("*").alias("f"), F.min("lo").alias("least"), F.max("hi").alias("most"), F.max("own").alias("largest")
+    )
+    open_ = parts.where("least < most and largest = size_class").select("shingle", "size_class", "f")
+    return rows.join(open_, ["shingle", "size_class"])
+
+
+def list_pairs(parts: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of groups (g, h), g < h, that stand in one part of a list, fit and aren't one component."""
+    x, y = parts.alias("x"), parts.alias("y")
     same = (F.col("x.lo") == F.col("y.hi")) & (F.col("x.hi") == F.col("y.lo"))
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.grp") < F.col("y.grp")) & _fits("x", "y", percent) & ~same)
+    here = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.size_class") == F.col("y.size_class"))
+    once = F.greatest("x.own", "y.own") == F.col("x.size_class")
+    met = x.join(y, here & (F.col("x.grp") < F.col("y.grp")) & once & _fits("x", "y", percent) & ~same)
     return met.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
 
 
@@ -256,24 +300,18 @@ def by_frequency(members: DataFrame, text: DataFrame, k: int, percent: int) -> D
     common = dealt.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
     ranked = dealt.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_set(F.struct("times", "shingle"))).alias("ranked"))
     first = members.join(ranked, "node").withColumn("alone", F.col("n_shingles") - F.size("ranked"))
-    length = F.col("n_shingles") - F.ceil(percent * F.col("n_shingles") / 100) + 1 - F.col("alone")
+    length = F.col("n_shingles") - F.ceil(F.lit(percent) * F.col("n_shingles") / 100) + 1 - F.col("alone")
     first = first.withColumn("length", length.cast("int")).where("length > 0")
     first = first.withColumn("prefix", F.expr("transform(slice(ranked, 1, length), x -> x.shingle)"))
-    # places count from the shingles of this node only, so groups are of nodes with as many of these
-    return first.withColumn("prefix_key", F.sha2(F.concat_ws(",", "alone", F.expr("transform(prefix, x -> string(x))")), 256)).select(
-        "node", "n_shingles", "key", "component", "prefix", "prefix_key", "alone"
-    )
+    first = first.withColumn("prefix_key", F.sha2(F.concat_ws(",", F.expr("transform(prefix, x -> string(x))")), 256))
+    return first.select("node", "n_shingles", "key", "component", "prefix", "prefix_key", "alone")
 
 
 def exact_pairs(members: DataFrame, text: DataFrame, k: int, percent: int) -> DataFrame:
     """All pairs of nodes in different components that can be similar enough, by a join in the order of real frequencies."""
-    ordered = cut(by_frequency(members, text, k, percent))
-    groups, lists = grouped(ordered)
-    alone = ordered.groupBy("n_shingles", "prefix_key").agg(F.min("node").alias("grp"), F.first("alone").alias("alone")).select("grp", "alone")
-    groups = cut(groups)
-    lists = shared_lists(lists).join(alone, "grp").withColumn("place", F.col("place") + F.col("alone"))
-    lists = cut(_with_components(lists, groups))
-    return expanded(list_pairs(lists, percent).union(_mixed(groups)), groups)
+    groups, heads = (cut(x) for x in grouped(cut(by_frequency(members, text, k, percent))))
+    parts = cut(classed(_with_components(shared_lists(lists_of(heads)), groups), percent))
+    return expanded(fitting(list_pairs(parts, percent).union(_mixed(groups)), heads, percent), groups)
 
 
 def _mixed(members: DataFrame) -> DataFrame:
@@ -284,23 +322,24 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 def similar_links(nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (u, v) between nodes (node, n_shingles, key, prefix, prefix_key): all that components need."""
-    members, lists = grouped(nodes.withColumn("component", F.col("node")))
-    members, lists = cut(members), cut(shared_lists(lists))
-    met = lists.select("grp").union(members.where("node <> grp").select("grp")).distinct()
-    members = cut(members.join(met, "grp", "left_semi"))
-    text = cut(texts_of(docs, members.select("node")))
+    members, heads = (cut(x) for x in grouped(nodes.withColumns({"component": F.col("node"), "alone": F.lit(0)})))
+    lists = cut(shared_lists(lists_of(heads)))
+    met = cut(lists.select("grp").union(members.where("node <> grp").select("grp")).distinct())
+    members, heads = cut(members.join(met, "grp", "left_semi")), cut(heads.join(met, "grp", "left_semi"))
     tried, links, turn = None, None, 1
 
     def confirm(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         nonlocal tried, links
         pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        # the texts of these pairs only: keeping those of all nodes in lists would be most of the corpus
+        text = texts_of(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")))
         new = cut(verified(pairs, text, k, percent))
         tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
         links = new if links is None else links.union(new)
         return pairs, new
 
     while True:
-        pairs, new = confirm(star_pairs(lists, members, turn, percent))
+        pairs, new = confirm(star_pairs(lists, members, heads, turn, percent))
         labels = components(links)
         members = members.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         members = cut(members.select("grp", "node", "n_shingles", "key", "component"))
@@ -310,11 +349,13 @@ def similar_links(nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> Da
         if lists.isEmpty():
             break
         turn += 1
-    confirm(expanded(list_pairs(lists.where(F.col("f") <= SHORT_LIST), percent).union(_mixed(members)), members))
-    long = lists.where(F.col("f") > SHORT_LIST).select("grp").distinct()
+    parts = cut(classed(lists, percent))
+    short = list_pairs(parts.where(F.col("f") <= SHORT_LIST), percent).union(_mixed(members))
+    confirm(expanded(fitting(short, heads, percent), members))
+    long = parts.where(F.col("f") > SHORT_LIST).select("grp").distinct()
     rest = cut(members.join(long, "grp", "left_semi"))
     if not rest.isEmpty():
-        confirm(exact_pairs(rest.drop("grp"), text, k, percent))
+        confirm(exact_pairs(rest.drop("grp"), texts_of(docs, rest.select("node")), k, percent))
     return links
 
 
