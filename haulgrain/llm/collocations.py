@@ -41,10 +41,12 @@ SHARE = 1024
 #: words a bucket is meant for
 BUCKET_WORDS = 1 << 20
 #: suffixes a bucket gathers before equal ones are merged
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 #: bits of the fixed-size map of words that are frequent enough: 2^25 bits are 4 MB
 SLOT_BITS = 25
-CHUNK_BYTES = 1 << 22
+#: texts whose words, and whose suffixes, are counted together
+WORD_CHUNK = 1 << 22
+SUFFIX_CHUNK = 1 << 22
 _LONG_WORD = 256
 
 _BREAK = K.byte_table(lambda b: b in b".,;:!?\n\x0b\x0c\r")
@@ -168,7 +170,7 @@ def _word_counts(texts: DataFrame, seed: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = _langs(batch)
-            for lo, hi, buf, offsets in K.chunks(batch.column("text"), CHUNK_BYTES):
+            for lo, hi, buf, offsets in K.chunks(batch.column("text"), WORD_CHUNK):
                 buf, starts, ends, owner, hashes, _ = words_of(buf, offsets, langs[lo:hi], seed)
                 one, at, times = np.unique(hashes, return_index=True, return_counts=True)
                 data = buf.tobytes()
@@ -194,12 +196,9 @@ def word_table(texts: DataFrame) -> tuple[DataFrame, int]:
     matter of 1e-9 for a chunk of 4 MB.
     """
     for seed in range(8):
-        counted = _word_counts(texts, seed).repartition("word_hash").groupBy("word_hash").agg(
-            F.min(F.struct("lang", "word")).alias("one"), F.max(F.struct("lang", "word")).alias("last"), F.sum("times").alias("f")
-        )
-        words = cut(counted)
-        if words.where("one <> last").isEmpty():
-            return words.select("word_hash", "one.lang", "one.word", "f"), seed
+        words = cut(_word_counts(texts, seed).groupBy("word_hash", "lang", "word").agg(F.sum("times").alias("f")))
+        if words.groupBy("word_hash").count().where("count > 1").isEmpty():
+            return words, seed
     raise ValueError("words that share a hash under every seed")
 
 
@@ -232,7 +231,7 @@ def _routed(texts: DataFrame, seed: int, slots: np.ndarray, hot: np.ndarray, buc
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = _langs(batch)
-            for lo, hi, buf, offsets in K.chunks(batch.column("text"), CHUNK_BYTES):
+            for lo, hi, buf, offsets in K.chunks(batch.column("text"), SUFFIX_CHUNK):
                 *_, hashes, linked = words_of(buf, offsets, langs[lo:hi], seed)
                 slot = hashes >> np.uint64(64 - SLOT_BITS)
                 frequent = (slots[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
@@ -253,7 +252,9 @@ def _routed(texts: DataFrame, seed: int, slots: np.ndarray, hot: np.ndarray, buc
                 for a, b in zip(edge, np.append(edge[1:], len(bucket)), strict=True):
                     words, codes = np.unique(np.concatenate([c[a:b] for c in columns]), return_inverse=True)
                     wide = np.uint16 if len(words) <= 1 << 16 else np.uint32
-                    rows.append((int(bucket[a]), words.tobytes(), codes.astype(wide).tobytes(), weights[a:b].astype(np.uint32).tobytes()))
+                    codes = codes.reshape(longest, -1)
+                    order = np.argsort(codes[0] * len(words) + codes[1])  # equal words side by side take less room
+                    rows.append((int(bucket[a]), words.tobytes(), codes[:, order].astype(wide).tobytes(), weights[a:b][order].astype(np.uint32).tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
                     names=["bucket", "words", "codes", "weights"],
