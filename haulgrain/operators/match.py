@@ -18,13 +18,16 @@ def lookup(
     on: Sequence[str] | Mapping[str, str],
     cols: Sequence[str] | Mapping[str, str],
     null_safe: bool = False,
+    stage: Stage = no_stage,
 ) -> DataFrame:
     """Left join that never multiplies rows: the dimension is reduced to one row per key first.
 
     ``on`` maps columns of ``df`` to key columns of ``dim`` (or lists common names); ``cols`` maps
     output names to columns of ``dim``.  Where the dimension repeats a key, the highest value of
     each column is taken.  The dimension is broadcast only when Spark finds it under its size
-    threshold.
+    threshold.  What Spark derives for a dimension made by joins or unions is far above its real
+    size, and ``df`` is then shuffled before it can be measured: a ``stage`` that writes the reduced
+    dimension (``lookup_`` and the key names) shows its size beforehand.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     wanted = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
@@ -33,6 +36,7 @@ def lookup(
         *(F.col(c).alias(o) for o, c in wanted.items()),
     )
     unique = named.groupBy(*pairs).agg(*(F.max(o).alias(o) for o in wanted))
+    unique = stage(unique, "_".join(["lookup", *pairs, *wanted]))
     return join_totals(df, unique, list(pairs), null_safe=null_safe)
 
 

@@ -75,5 +75,8 @@ def join_apart(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 
 
 def _single_salt(keys: Sequence[str]) -> Column:
-    """Zero for every row, computed from the keys so that the planner keeps it as a join key."""
-    return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(1)).cast("int")
+    """Zero for every row, computed from the keys so that the planner keeps it as a join key.
+
+    Never NULL, so that inner and outer joins of one frame filter nothing and share its exchange.
+    """
+    return F.coalesce(F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(1)).cast("int"), F.lit(0))

@@ -3,7 +3,8 @@
 The prepared events go to ``stage`` as ``on_time_rows``, because four column-pruned aggregates read
 them (order key, load, load x stage x event, load x profile), each combined before its shuffle.  Only
 their results are joined; the events themselves meet two lookups, which Spark broadcasts while they
-are small and joins by shuffling beyond that.
+are small and joins by shuffling beyond that.  All results of a load, its promises among them, are
+gathered into one row, so the orders are dealt out twice: by their keys and by their load.
 """
 
 from __future__ import annotations
@@ -164,6 +165,14 @@ def promise_kept(rows: DataFrame) -> DataFrame:
     )
 
 
+def promises_of_loads(rows: DataFrame) -> DataFrame:
+    """Per load: a map from profile to ``promise_kept``, which is as long as the load has profiles."""
+    kept = promise_kept(rows).where("load_id IS NOT NULL AND profl_method_code IS NOT NULL")
+    result = F.struct("load_lvl_on_time_pct", "largest_order_num")
+    entries = F.collect_list(F.struct("profl_method_code", result))
+    return kept.groupBy("load_id").agg(F.map_from_entries(entries).alias("_promises"))
+
+
 def distance_per_load(freight_stats: DataFrame) -> DataFrame:
     load = normalize_key("shpmt_id").alias("load_id")
     distance = F.col("distance_per_load_qty").try_cast("decimal(30,8)")
@@ -187,6 +196,7 @@ def build(
     largest_order_only: bool = False,
     null_safe_keys: bool = False,
     stage: Stage = no_stage,
+    lookups: Stage = no_stage,
 ) -> DataFrame:
     """On-time result, unique on ``KEYS``.
 
@@ -194,17 +204,20 @@ def build(
     on-time percentage.  ``largest_order_only=True`` gives the load's promise result only to its
     order with the highest number; the other orders of a listed customer then have no percentage.
     Unless ``null_safe_keys``, an order with a NULL key column gets no promise result and counts as
-    no listed customer.  An order with several profiles takes the highest profile text.
+    no listed customer.  An order with several profiles takes the highest profile text.  A
+    ``lookups`` stage that writes spares the wide rows a shuffle for each lookup that is small.
     """
     check_names(formulas, ON_TIME_ROW, ON_TIME_RESULT, ON_TIME_LOAD, FIRST_EVENT)
     rows = stage(prepare(events, formulas), "on_time_rows")
 
-    orders = _orders(rows, origin_units, on_time_reasons)
+    orders = _orders(rows, origin_units, on_time_reasons, lookups)
 
     loads = load_facts(rows, last_ship_to)
     loads = loads.join(first_delivery_ratio(rows, formulas), "load_id", "left")
     loads = loads.join(distance_per_load(freight_stats), "load_id", "left")
+    loads = loads.join(promises_of_loads(rows), "load_id", "left")
     joined = join_totals(orders, loads, ["load_id"])
+    joined = joined.withColumn("_promise", F.col("_promises")[F.col("profl_method_code")]).drop("_promises")
 
     has_load, is_measurable = F.col("load_on_time") == 1, F.col("measrbl_shpmt_cnt") == 1
     iot_pct = F.when(is_measurable, F.when(has_load, 100.0).otherwise(0.0))
@@ -223,11 +236,12 @@ def build(
         destination_channels,
         {"dest_sold_to_name": "dest_sold_to_name"},
         {"lookup_customer_name": "customer_name", "lookup_channel_name": "channel_name"},
+        stage=lookups,
     )
-    joined = lookup(joined, ship_to_flags, {"ship_to_party_code": "ship_to_num"}, ["ship_to_flag"])
+    joined = lookup(joined, ship_to_flags, {"ship_to_party_code": "ship_to_num"}, ["ship_to_flag"], stage=lookups)
     joined = apply_formulas(joined, ON_TIME_RESULT, formulas)
 
-    kept = _promise_of_orders(joined, rows, largest_order_only, null_safe_keys)
+    kept = _promise_of_orders(joined, largest_order_only, null_safe_keys)
     return override_for(
         kept,
         "_override_customer",
@@ -238,7 +252,9 @@ def build(
     ).drop("_override_customer", "unit_code", "lookup_customer_name", "lookup_channel_name")
 
 
-def _orders(rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame) -> DataFrame:
+def _orders(
+    rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame, lookups: Stage = no_stage
+) -> DataFrame:
     """Rows with a load and an origin, rolled up to ``KEYS``; every other column is an attribute.
 
     Nearly every event has its ten keys to itself, so only the others are sorted for their maxima.
@@ -249,9 +265,14 @@ def _orders(rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame
         origin_units,
         {"ship_point_code": "origin_id", "origin_zone_code": "parent_loc_code"},
         {"unit_code": "gbu_code"},
+        stage=lookups,
     )
     kept = lookup(
-        kept, on_time_reasons, {"on_time_src_desc": "definition_name"}, {"aot_bucket_val": "cause_desc"}
+        kept,
+        on_time_reasons,
+        {"on_time_src_desc": "definition_name"},
+        {"aot_bucket_val": "cause_desc"},
+        stage=lookups,
     )
     helpers = [c for c in kept.columns if c.startswith("_")]
     renamed = {new: old for old, new in RESULT_NAMES.items() if old in kept.columns}
@@ -261,24 +282,21 @@ def _orders(rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame
     return rollup_of_repeated(kept, spec)
 
 
-def _promise_of_orders(
-    orders: DataFrame, rows: DataFrame, largest_order_only: bool, null_safe_keys: bool
-) -> DataFrame:
-    """Attach the promise result of the order's load and profile."""
-    with_flag = join_totals(orders, promise_kept(rows), ["load_id", "profl_method_code"])
+def _promise_of_orders(orders: DataFrame, largest_order_only: bool, null_safe_keys: bool) -> DataFrame:
+    """The promise result of the order's load and profile, as far as its keys are known."""
     known = F.lit(True)
     if not null_safe_keys:
         for key in KEYS:
             known = known & F.col(key).isNotNull()
     judged = known
     if largest_order_only:
-        judged = known & (F.col("order_num") == F.col("largest_order_num"))
-    return with_flag.withColumns(
+        judged = known & (F.col("order_num") == F.col("_promise.largest_order_num"))
+    return orders.withColumns(
         {
-            "load_lvl_on_time_pct": F.when(judged, F.col("load_lvl_on_time_pct")),
+            "load_lvl_on_time_pct": F.when(judged, F.col("_promise.load_lvl_on_time_pct")),
             "_override_customer": F.when(known, F.col("customer_desc")),
         }
-    ).drop("largest_order_num")
+    ).drop("_promise")
 
 
 def inter_plant(on_time: DataFrame, freight_type: str = INTER_PLANT) -> DataFrame:

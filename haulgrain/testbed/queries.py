@@ -616,20 +616,26 @@ def build_on_time(spark, sf, **options) -> DataFrame:
 
 @query
 def mart_on_time(spark, sf):
-    return build_on_time(spark, sf, stage=written(spark, "on_time_rows"))
+    return build_on_time(spark, sf, stage=written(spark, "on_time_rows"), lookups=written(spark))
 
 
 @query
 def mart_on_time_largest_order(spark, sf):
     """Promise result for the largest order of a load only, last ship-to as a real arg-max."""
     return build_on_time(
-        spark, sf, largest_order_only=True, last_ship_to="argmax", stage=written(spark, "on_time_rows")
+        spark,
+        sf,
+        largest_order_only=True,
+        last_ship_to="argmax",
+        stage=written(spark, "on_time_rows"),
+        lookups=written(spark),
     )
 
 
 @query
 def mart_interplant(spark, sf):
-    return on_time.inter_plant(build_on_time(spark, sf, stage=written(spark, "on_time_rows")))
+    stage, lookups = written(spark, "on_time_rows"), written(spark)
+    return on_time.inter_plant(build_on_time(spark, sf, stage=stage, lookups=lookups))
 
 
 @query
