@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from haulgrain.operators.match import lookup
+from haulgrain.operators.match import fallback_match, lookup
 from haulgrain.operators.rollup import RollupSpec, rollup_of_repeated
-from haulgrain.operators.stage import written
+from haulgrain.operators.skew import join_totals
+from haulgrain.operators.stage import buckets_for, written
 from haulgrain.session import tune
 from haulgrain.testbed import queries as q
 
@@ -54,3 +55,29 @@ def test_promises_come_with_the_load(spark):
     text = q.QUERIES["mart_on_time"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in text.split("\n") if "Join LeftOuter" in line]
     assert joins and not any("profl_method_code" in line for line in joins)
+
+
+def test_distinct_after_a_join_on_the_load_needs_no_exchange(spark, no_broadcast):
+    items = spark.range(100).select((F.col("id") % 10).cast("string").alias("load"), F.lit("x").alias("a"))
+    loads = spark.range(10).select(F.col("id").cast("string").alias("load"), "id")
+    text = final_plan(join_totals(items, loads, ["load"], "inner", keep_salt=True).distinct().drop("_salt"))
+    assert len([line for line in text.split("\n") if "Exchange" in line]) == 2
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(0) == buckets_for(2_000_000) == 8
+    assert buckets_for(36_000_000) == 144
+
+
+def test_few_keys_of_a_spread_match_use_many_tasks(spark, no_broadcast):
+    facts = spark.range(600).select(F.when(F.col("id") >= 0, "n").otherwise("m").alias("k"), (F.col("id") % 2).alias("c"), "id")
+    ref = spark.createDataFrame([("n", 0, "r1"), ("n", 1, "r2"), ("m", 1, "r3")], "k string, c bigint, r string")
+    plain = fallback_match(facts, ref, ["k"], ["c"])
+    wide = fallback_match(facts, ref, ["k"], ["c"], spread=16)
+    assert sorted(map(str, wide.collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = [d.where("match_tier = 1").select(F.spark_partition_id()).distinct().count() for d in (plain, fallback_match(facts, ref, ["k"], ["c"], spread=16))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks[0] == 1 and tasks[1] > 3
