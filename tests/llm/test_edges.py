@@ -210,6 +210,36 @@ def test_fuzzy_passages(spark):
     assert abs(row.start - 30) <= 1 and abs(row.end - 120) <= 1 and abs(row.source_start - 40) <= 1 and row.identity > 0.9
 
 
+@pytest.mark.parametrize("n", [1, 12])
+def test_passages_whose_parts_stand_in_other_documents(spark, n):
+    """Each half of a passage stands in ``n`` earlier documents, too short there; two documents have all of it."""
+    passage = prose(600, 44).split()
+    parts = [passage[:22], passage[22:]] * n
+    docs = [(i, " ".join([prose(700 + i, 25), *part, prose(800 + i, 25)])) for i, part in enumerate(parts)]
+    docs += [(100 + i, " ".join([prose(900 + i, 30), *passage, prose(950 + i, 30)])) for i in range(2)]
+    found = [(r.doc_id, r.source_doc_id, r.start, r.end) for r in chaining.passages(documents(spark, docs)).collect()]
+    assert found == [(101, 100, 30, 74)]
+
+
+def test_passage_in_few_documents_links_all_pairs(spark):
+    passage = prose(600, 44)
+    docs = [(i, " ".join([prose(700 + i, 25), passage, prose(800 + i, 25)])) for i in range(chaining.FEW)]
+    pairs = {(r.doc_id, r.source_doc_id) for r in chaining.passages(documents(spark, docs)).collect()}
+    assert pairs == {(i, j) for i in range(chaining.FEW) for j in range(i)}
+
+
+def test_passage_in_many_documents_links_all_to_the_first(spark):
+    """More documents than are paired, in batches smaller than their rows."""
+    passage = prose(600, 44)
+    docs = [(i, " ".join([prose(700 + i, 25), passage, prose(800 + i, 25)])) for i in range(60)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        pairs = {(r.doc_id, r.source_doc_id) for r in chaining.passages(documents(spark, docs)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(i, 0) for i in range(1, 60)} <= pairs and len(pairs) < 60 * 9
+
+
 def test_urls(spark):
     rows = [
         (1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "http://A.Example.ORG/es/x?y"), (6, "http://example.org/en/12"),
