@@ -81,3 +81,16 @@ def test_few_keys_of_a_spread_match_use_many_tasks(spark, no_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert tasks[0] == 1 and tasks[1] > 3
+
+
+def test_items_with_their_lane_are_grouped_by_order_without_a_further_exchange(spark, no_broadcast):
+    """The last join deals the items out by order, and the rollup works inside its parts."""
+    plan = q.wide_rollup(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("SortMergeJoin [l_orderkey")]
+
+
+def test_parts_of_a_shuffle_stay_small(spark):
+    """About 100 MB on 8 cores: a part per core would be larger than ``session.PART``."""
+    tune(spark)
+    rows = spark.range(4_000_000).select(*(F.xxhash64(F.col("id") + i).alias(f"c{i}") for i in range(3)))
+    assert rows.repartition("c0").rdd.getNumPartitions() >= 11
