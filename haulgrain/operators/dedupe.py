@@ -15,20 +15,18 @@ def latest_n_periods(df: DataFrame, period: ColumnOrName, n: int) -> DataFrame:
     """Rows of the ``n`` highest period keys.
 
     Only the distinct keys are ranked: they are deduplicated before the shuffle and the top ``n``
-    come from a take-ordered step, so no window runs over the facts.  What is broadcast is at most
-    ``n`` keys, whatever the size of ``df``.  A NULL period ranks last, as in a descending
+    come from a take-ordered step, so no window runs over the facts.  The lowest of them reaches the
+    rows as a scalar, in a filter that Spark applies before the joins ``df`` is made of; a join with
+    the keys would come after these.  A NULL period ranks last, as in a descending
     ``dense_rank``, and is kept while it is among the ``n``.
     """
     if n < 1:
         raise ValueError("n must be positive")
     key = as_column(period)
-    newest = (
-        df.select(key.alias("_period"))
-        .distinct()
-        .orderBy(F.col("_period").desc_nulls_last())
-        .limit(n)
-    )
-    return df.join(F.broadcast(newest), key.eqNullSafe(F.col("_period")), "left_semi")
+    ranked = df.select(key.alias("_period")).distinct().orderBy(F.col("_period").desc_nulls_last())
+    # NULL where it is the n-th key itself or there are fewer keys: then every row is kept
+    lowest = ranked.offset(n - 1).limit(1).scalar()
+    return df.filter(lowest.isNull() | (key >= lowest))
 
 
 def _total_order(order: Sequence[Column], tiebreak: Sequence[str]) -> list[Column]:

@@ -55,6 +55,8 @@ NOT_IN_SHIPMENTS = [
 
 
 WEEK = "concat_week_year"
+FINAL_STOP = "final_stop_postal_code"
+NOT_IN_STOPS = ["origin_zone_ship_from_code", "loc_id", "loc_name"]
 
 
 def lanes(
@@ -99,8 +101,9 @@ def shipments(
     weeks at run time.
 
     Loads and lanes meet on the week and on ``match_on``.  ``match_on=()`` meets on the week only,
-    which repeats every load for each lane of its week.  Loads are first cut down to the weeks and
-    lanes in question, then deduplicated, then joined.  Columns both sides have beyond the join
+    which repeats every load for each lane of its week.  Loads are first cut down to the span of the
+    lanes' weeks, which Spark does before the joins that the loads are made of, and to the weeks and
+    lanes in question, then deduplicated, then joined with the stops and at last with the lanes.  Columns both sides have beyond the join
     keys come out twice, the lane's with the prefix ``lane_``.  Of several stops with one postal
     code the highest value of each column is taken; ``repeat_stops=True`` repeats the shipment for
     each of them instead.
@@ -118,8 +121,18 @@ def shipments(
     keys = ["concat_week_year", *match_on]
     shared = [c for c in lane_rows.columns if c in loads.columns and c not in keys]
     lane_rows = lane_rows.withColumnsRenamed({c: f"lane_{c}" for c in shared})
+    first, last = (lane_rows.agg(f("concat_week_year")).scalar() for f in (F.min, F.max))
+    loads = loads.filter((F.col(WEEK) >= first) & (F.col(WEEK) <= last))
     in_scope = join_totals(loads, lane_rows.select(*keys).distinct(), keys, "left_semi").distinct()
-    found = _with_stops(in_scope.join(lane_rows, keys, "inner"), locations, repeat_stops)
+    columns = in_scope.join(lane_rows, keys, "inner").columns
+    if FINAL_STOP in in_scope.columns and not {*locations.columns} & {*lane_rows.columns} - {*NOT_IN_STOPS}:
+        # the stops meet the loads before the lanes multiply them
+        found = _with_stops(in_scope, locations, repeat_stops)
+        new = [c for c in found.columns if c not in in_scope.columns]
+        columns = [FINAL_STOP, *(c for c in columns if c != FINAL_STOP)] if repeat_stops else columns
+        found = found.join(lane_rows, keys, "inner").select(*columns, *new)
+    else:
+        found = _with_stops(in_scope.join(lane_rows, keys, "inner"), locations, repeat_stops)
     return found.withColumn("last_update_utc_tmstp", F.current_timestamp())
 
 
@@ -156,9 +169,9 @@ def weekly_loads(load_costs: DataFrame, *, year_mode: str = "calendar") -> DataF
 
 
 def _with_stops(loads: DataFrame, locations: DataFrame, repeat_stops: bool) -> DataFrame:
-    stops = locations.drop("origin_zone_ship_from_code", "loc_id", "loc_name")
+    stops = locations.drop(*NOT_IN_STOPS)
     if repeat_stops:
-        stops = stops.withColumnRenamed("postal_code", "final_stop_postal_code").distinct()
-        return loads.join(stops, "final_stop_postal_code", "left")
+        stops = stops.withColumnRenamed("postal_code", FINAL_STOP).distinct()
+        return loads.join(stops, FINAL_STOP, "left")
     names = [c for c in stops.columns if c != "postal_code"]
-    return lookup(loads, stops, {"final_stop_postal_code": "postal_code"}, names)
+    return lookup(loads, stops, {FINAL_STOP: "postal_code"}, names)

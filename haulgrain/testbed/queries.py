@@ -664,7 +664,7 @@ def _tender_shipments(spark, sf, **options):
 
 def _with_day_texts(shipments: DataFrame) -> DataFrame:
     days = ("actual_goods_issue_date", "week_begin_date")
-    return shipments.drop("last_update_utc_tmstp").withColumns({d: F.date_format(d, "yyyy-MM-dd") for d in days})
+    return shipments.drop("last_update_utc_tmstp").withColumns({d: F.col(d).cast("string") for d in days})
 
 
 @query

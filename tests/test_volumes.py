@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from haulgrain.operators.dedupe import latest_n_periods
 from haulgrain.operators.match import fallback_match, lookup
 from haulgrain.operators.rollup import RollupSpec, rollup_of_repeated
 from haulgrain.operators.skew import join_totals
 from haulgrain.operators.stage import buckets_for, written
+from haulgrain.plans import tender
 from haulgrain.session import tune
 from haulgrain.testbed import queries as q
 
@@ -94,3 +96,40 @@ def test_parts_of_a_shuffle_stay_small(spark):
     tune(spark)
     rows = spark.range(4_000_000).select(*(F.xxhash64(F.col("id") + i).alias(f"c{i}") for i in range(3)))
     assert rows.repartition("c0").rdd.getNumPartitions() >= 11
+
+
+def test_latest_weeks_are_cut_before_the_joins(spark, no_broadcast):
+    items, orders = q.table(spark, SF, "lineitem"), q.table(spark, SF, "orders")
+    joined = items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).select(F.year("l_shipdate").alias("y"), "o_orderdate")
+    kept = latest_n_periods(joined, "y", 2)
+    text = kept._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    assert "scalar-subquery" in text.split("Relation")[0]
+    last = joined.agg(F.max("y")).first()[0]
+    assert kept.count() == joined.where(F.col("y") >= last - 1).count()
+
+
+def test_stops_meet_the_loads_before_the_lanes_repeat_them(spark):
+    """Ten lanes a load: the stops are looked up per load, in the columns and rows of a plain join."""
+    day = F.to_date(F.lit("1998-05-05"))
+    loads = spark.range(20).select(
+        F.col("id").cast("string").alias("load_id"),
+        day.alias("actual_goods_issue_date"),
+        F.lit("A").alias("origin_zone_ship_from_code"),
+        F.lit("B").alias("dest_ship_from_code"),
+        F.when(F.col("id") > 4, (F.col("id") % 3).cast("string")).alias("final_stop_postal_code"),
+    )
+    lanes = spark.range(10).select(
+        F.col("id").alias("accept_cnt"),
+        day.alias("week_begin_date"),
+        F.lit("A").alias("origin_zone_ship_from_code"),
+        F.lit("B").alias("dest_ship_from_code"),
+    )
+    stops = spark.createDataFrame([("0", "x"), ("0", "y"), ("1", "z"), (None, "n")], "postal_code string, stop_name string")
+    for repeat, rows in ((False, 200), (True, 250)):
+        found = tender.shipments(loads, lanes, stops, repeat_stops=repeat)
+        joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in line]
+        assert "Join Inner" in joins[0] and any("LeftOuter" in j for j in joins[1:])
+        assert found.count() == rows
+        lead = "final_stop_postal_code,concat_week_year" if repeat else "concat_week_year"
+        assert ",".join(found.columns).startswith(lead) and found.columns[-2:] == ["stop_name", "last_update_utc_tmstp"]
+        assert found.where("final_stop_postal_code IS NULL AND stop_name IS NOT NULL").count() == 0
