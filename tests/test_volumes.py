@@ -10,6 +10,7 @@ from haulgrain.operators.skew import join_totals
 from haulgrain.operators.stage import buckets_for, written
 from haulgrain.plans import tender
 from haulgrain.session import tune
+from haulgrain.sources.versions import publish
 from haulgrain.testbed import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -133,3 +134,11 @@ def test_stops_meet_the_loads_before_the_lanes_repeat_them(spark):
         lead = "final_stop_postal_code,concat_week_year" if repeat else "concat_week_year"
         assert ",".join(found.columns).startswith(lead) and found.columns[-2:] == ["stop_name", "last_update_utc_tmstp"]
         assert found.where("final_stop_postal_code IS NULL AND stop_name IS NOT NULL").count() == 0
+
+
+def test_a_partitioned_target_has_few_files(spark, tmp_path):
+    tune(spark)
+    rows = spark.range(0, 4000, 1, 16).select((F.col("id") % 20).cast("string").alias("week"), "id")
+    path = publish(rows, str(tmp_path / "t"), ["week"])
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 20
+    assert spark.read.parquet(path).count() == 4000
