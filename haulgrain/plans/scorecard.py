@@ -184,7 +184,9 @@ def build(
     On-time facts meet the tender rows of their exact origin; those without any are regrouped to
     the lane and meet the tender rows of the zone.  ``keep_duplicates=True`` also keeps the
     unmatched facts in their ungrouped form; ``lane_counts`` is explained at ``regroup_to_lane``.
-    A ``stage`` that writes ``fallback_matched`` lets the on-time facts be read once.
+    A ``stage`` that writes ``fallback_matched`` lets the on-time facts be read once.  One that writes
+    ``loading_facts`` and ``fill_facts`` spares their sources a filter: Spark else looks for NULL keys
+    in every source row, and computes the week from the date text there once more.
     """
     check_names(formulas, SCORECARD_TENDER)
     tender = stage(tender_facts(tender_weekly, formulas), "tender_facts")
@@ -198,8 +200,8 @@ def build(
         stage=stage,
     )
     known = matched.filter(not_text_null(ORIGIN))
-    with_loading = join_totals(known, loading_facts(loading_view), ATTACH)
-    fill = fill_facts(fill_view, pad_week, year_mode)
+    with_loading = join_totals(known, stage(loading_facts(loading_view), "loading_facts"), ATTACH)
+    fill = stage(fill_facts(fill_view, pad_week, year_mode), "fill_facts")
     return (
         join_totals(with_loading, fill, ATTACH)
         .withColumnsRenamed({"lane": "lane_name"})

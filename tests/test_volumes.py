@@ -8,10 +8,11 @@ from haulgrain.operators.match import fallback_match, lookup
 from haulgrain.operators.rollup import RollupSpec, rollup_of_repeated
 from haulgrain.operators.skew import join_totals
 from haulgrain.operators.stage import buckets_for, written
-from haulgrain.plans import tender
+from haulgrain.plans import scorecard, tender
 from haulgrain.session import tune
 from haulgrain.sources.versions import publish
 from haulgrain.testbed import queries as q
+from haulgrain.testbed.frames import frames
 
 SF = "/root/testdata/sf0.001"
 
@@ -109,6 +110,22 @@ def test_latest_weeks_are_cut_before_the_joins(spark, no_broadcast):
     assert kept.count() == joined.where(F.col("y") >= last - 1).count()
 
 
+def test_methods_hotspot_does_not_compile_are_not_generated(spark):
+    assert int(tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+
+
+def test_week_of_the_fill_rows_is_computed_once_a_row(spark):
+    seen = {}
+
+    def stage(df, name):
+        seen[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return spark.createDataFrame(df.limit(5).collect(), df.schema)
+
+    scorecard.build(*frames(spark, SF, "tender_weekly", "on_time_view", "loading_view", "fill_view"), stage=stage)
+    for name in ("loading_facts", "fill_facts"):
+        assert "isnotnull(concat" not in seen[name]
+
+
 def test_stops_meet_the_loads_before_the_lanes_repeat_them(spark):
     """Ten lanes a load: the stops are looked up per load, in the columns and rows of a plain join."""
     day = F.to_date(F.lit("1998-05-05"))
