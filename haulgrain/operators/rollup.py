@@ -102,6 +102,31 @@ def rollup_of_repeated(df: DataFrame, spec: RollupSpec) -> DataFrame:
     return rolled.unionByName(alone)
 
 
+def rollup_beside(
+    df: DataFrame,
+    spec: RollupSpec,
+    facts: DataFrame,
+    on: Sequence[str],
+    null_too: Sequence[str] = (),
+    how: str = "left",
+) -> DataFrame:
+    """``wide_rollup`` with the columns of ``facts`` beside each of its rows.
+
+    ``facts`` has one row per ``on`` and ``null_too``, which are keys of the grain; a NULL meets a NULL
+    in ``null_too`` and nothing in ``on``.  The rows are dealt out once: the exchange of the join, which
+    adaptive execution splits for a hot key, has all rows of a group together.  Grouped first, wide rows
+    would be dealt out for the grouping and again for the join.  ``how`` is ``left`` or ``inner``.
+    """
+    marks = {f"_null_or_{c}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in null_too}
+    keys = [*on, *marks]
+    named = [c for c in facts.columns if c not in (*on, *null_too)]
+    packed = facts.select(*on, *(m.alias(c) for c, m in marks.items()), F.struct(*named).alias("_facts"))
+    joined = join_totals(df.withColumns(marks) if marks else df, packed, keys, how, keep_salt=True)
+    rolled = joined.groupBy(*spec.keys, *marks, "_salt").agg(*spec.aggregates(), F.first("_facts").alias("_facts"))
+    own = [c for c in rolled.columns if c not in (*marks, "_salt", "_facts")]
+    return rolled.select(*own, *(F.col("_facts").getField(c).alias(c) for c in named))
+
+
 def distinct_then_sum(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], grain: Sequence[str] = ()
 ) -> DataFrame:

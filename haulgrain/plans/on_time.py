@@ -4,7 +4,9 @@ The prepared events go to ``stage`` as ``on_time_rows``, because four column-pru
 them (order key, load, load x stage x event, load x profile), each combined before its shuffle.  Only
 their results are joined; the events themselves meet two lookups, which Spark broadcasts while they
 are small and joins by shuffling beyond that.  All results of a load, its promises among them, are
-gathered into one row, so the orders are dealt out twice: by their keys and by their load.
+gathered into one row and repeated for each ship-to of the load, with the flag of the ship-to.  Load and
+ship-to are keys of an order, so the wide events are dealt out once by both: they meet these rows and
+are rolled up to orders where they are.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from ..functions.periods import parse_date_time
 from ..functions.rules import dispatch_by_code, measurable, on_time_flag, safe_ratio
 from ..operators.dedupe import first_event, last_event_attr
 from ..operators.match import lookup, override_for
-from ..operators.rollup import RollupSpec, rollup_of_repeated
+from ..operators.rollup import RollupSpec, rollup_beside
 from ..operators.skew import join_totals
 from ..operators.stage import Stage, no_stage
 
@@ -210,13 +212,12 @@ def build(
     check_names(formulas, ON_TIME_ROW, ON_TIME_RESULT, ON_TIME_LOAD, FIRST_EVENT)
     rows = stage(prepare(events, formulas), "on_time_rows")
 
-    orders = _orders(rows, origin_units, on_time_reasons, lookups)
-
     loads = load_facts(rows, last_ship_to)
     loads = loads.join(first_delivery_ratio(rows, formulas), "load_id", "left")
     loads = loads.join(distance_per_load(freight_stats), "load_id", "left")
     loads = loads.join(promises_of_loads(rows), "load_id", "left")
-    joined = join_totals(orders, loads, ["load_id"])
+    stops = _stops(rows, loads, ship_to_flags, lookups)
+    joined = _orders(rows, stops, origin_units, on_time_reasons, lookups)
     joined = joined.withColumn("_promise", F.col("_promises")[F.col("profl_method_code")]).drop("_promises")
 
     has_load, is_measurable = F.col("load_on_time") == 1, F.col("measrbl_shpmt_cnt") == 1
@@ -238,7 +239,7 @@ def build(
         {"lookup_customer_name": "customer_name", "lookup_channel_name": "channel_name"},
         stage=lookups,
     )
-    joined = lookup(joined, ship_to_flags, {"ship_to_party_code": "ship_to_num"}, ["ship_to_flag"], stage=lookups)
+    joined = joined.withColumn("ship_to_flag", F.col("_ship_to_flag")).drop("_ship_to_flag")
     joined = apply_formulas(joined, ON_TIME_RESULT, formulas)
 
     kept = _promise_of_orders(joined, largest_order_only, null_safe_keys)
@@ -252,16 +253,23 @@ def build(
     ).drop("_override_customer", "unit_code", "lookup_customer_name", "lookup_channel_name")
 
 
+def _with_origin(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("load_id").isNotNull() & (F.col("origin_zone_code") != ""))
+
+
+def _stops(rows: DataFrame, loads: DataFrame, ship_to_flags: DataFrame, lookups: Stage = no_stage) -> DataFrame:
+    """Per load and ship-to: all results of the load and the flag of the ship-to."""
+    stops = _with_origin(rows).select("load_id", "ship_to_party_code").distinct()
+    stops = lookup(stops, ship_to_flags, {"ship_to_party_code": "ship_to_num"}, {"_ship_to_flag": "ship_to_flag"}, stage=lookups)
+    return join_totals(stops, loads, ["load_id"])
+
+
 def _orders(
-    rows: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame, lookups: Stage = no_stage
+    rows: DataFrame, stops: DataFrame, origin_units: DataFrame, on_time_reasons: DataFrame, lookups: Stage = no_stage
 ) -> DataFrame:
-    """Rows with a load and an origin, rolled up to ``KEYS``; every other column is an attribute.
-
-    Nearly every event has its ten keys to itself, so only the others are sorted for their maxima.
-    """
-    kept = rows.filter(F.col("load_id").isNotNull() & (F.col("origin_zone_code") != ""))
+    """Rows with a load and an origin, rolled up to ``KEYS``, with the columns of ``stops``; every other column is an attribute."""
     kept = lookup(
-        kept,
+        _with_origin(rows),
         origin_units,
         {"ship_point_code": "origin_id", "origin_zone_code": "parent_loc_code"},
         {"unit_code": "gbu_code"},
@@ -279,7 +287,7 @@ def _orders(
     spec = RollupSpec(KEYS, attributes=renamed).with_remaining_attributes(
         kept, exclude=[*NOT_IN_RESULT, *helpers]
     )
-    return rollup_of_repeated(kept, spec)
+    return rollup_beside(kept, spec, stops, ["load_id"], ["ship_to_party_code"])
 
 
 def _promise_of_orders(orders: DataFrame, largest_order_only: bool, null_safe_keys: bool) -> DataFrame:

@@ -1,11 +1,13 @@
 """How often wide rows are shuffled."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from haulgrain.operators.dedupe import latest_n_periods
 from haulgrain.operators.match import fallback_match, lookup
-from haulgrain.operators.rollup import RollupSpec, rollup_of_repeated
+from haulgrain.operators.rollup import RollupSpec, rollup_beside, rollup_of_repeated, wide_rollup
 from haulgrain.operators.skew import join_totals
 from haulgrain.operators.stage import buckets_for, written
 from haulgrain.plans import scorecard, tender
@@ -159,3 +161,29 @@ def test_a_partitioned_target_has_few_files(spark, tmp_path):
     path = publish(rows, str(tmp_path / "t"), ["week"])
     assert len(list((tmp_path / "t").rglob("*.parquet"))) == 20
     assert spark.read.parquet(path).count() == 4000
+
+
+def dealt_out_with(df, column):
+    """Number of exchanges whose rows have this column."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return len([x for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text) if re.search(rf"\b{column}#", x)])
+
+
+def test_orders_are_dealt_out_once_with_all_their_columns(spark):
+    built = q.build_on_time(spark, SF, lookups=written(spark))
+    assert dealt_out_with(built, "frt_type_desc") == 1
+
+
+def test_rollup_beside_facts_is_the_rollup_joined_with_them(spark):
+    rows = [(k, s, t, n) for i, (k, s) in enumerate([("a", "x"), ("a", None), ("a", ""), ("b", "x"), (None, "x"), (None, None)]) for t, n in (("p", i), ("q", 2 * i), ("q", 2 * i))]
+    df = spark.createDataFrame(rows, "k string, s string, t string, n int")
+    facts = spark.createDataFrame([("a", "x", 1), ("a", None, 2), ("c", "x", 3), (None, "x", 4)], "k string, s string, f int")
+    spec = RollupSpec(["k", "s"], attributes=["t"], sums=["n"])
+    plain = wide_rollup(df, spec).alias("l")
+    for how in ("left", "inner"):
+        met = (F.col("l.k") == F.col("r.k")) & F.col("l.s").eqNullSafe(F.col("r.s"))
+        wanted = plain.join(facts.alias("r"), met, how).select("l.*", "f")
+        got = rollup_beside(df, spec, facts, ["k"], ["s"], how)
+        assert got.columns == wanted.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
