@@ -10,11 +10,11 @@ from haulgrain.operators.match import fallback_match, lookup
 from haulgrain.operators.rollup import RollupSpec, rollup_beside, rollup_of_repeated, wide_rollup
 from haulgrain.operators.skew import join_totals
 from haulgrain.operators.stage import buckets_for, written
-from haulgrain.plans import scorecard, tender
+from haulgrain.plans import fill_load, scorecard, tender
 from haulgrain.session import tune
 from haulgrain.sources.versions import publish
 from haulgrain.testbed import queries as q
-from haulgrain.testbed.frames import frames
+from haulgrain.testbed.frames import frame, frames
 
 SF = "/root/testdata/sf0.001"
 
@@ -175,6 +175,12 @@ def test_orders_are_dealt_out_once_with_all_their_columns(spark):
     assert dealt_out_with(built, "frt_type_desc") == 1
 
 
+def test_items_of_the_load_rollup_are_dealt_out_once_with_all_their_columns(spark, no_broadcast):
+    hub = written(spark)(q.build_fill_hub(spark, SF), "hub")
+    built = fill_load.build(hub, frame(spark, SF, "unit_costs"))
+    assert dealt_out_with(built, "ship_cond_desc") == 1
+
+
 def test_rollup_beside_facts_is_the_rollup_joined_with_them(spark):
     rows = [(k, s, t, n) for i, (k, s) in enumerate([("a", "x"), ("a", None), ("a", ""), ("b", "x"), (None, "x"), (None, None)]) for t, n in (("p", i), ("q", 2 * i), ("q", 2 * i))]
     df = spark.createDataFrame(rows, "k string, s string, t string, n int")
