@@ -221,6 +221,36 @@ def test_passages_whose_parts_stand_in_other_documents(spark, n):
     assert found == [(101, 100, 30, 74)]
 
 
+def test_passage_all_of_whose_short_stretches_stand_in_many_documents(spark):
+    """Every 20 words stand in five documents or more, 25 words in each, and which is the first differs; two documents have all."""
+    passage = prose(600, 44).split()
+    parts = [passage[k : k + 25] for k in (9, 0, 18, 3, 12, 6, 15, 19) for _ in range(5)]
+    docs = [(i, " ".join([prose(1700 + i, 25), *part, prose(1800 + i, 25)])) for i, part in enumerate(parts)]
+    docs += [(100 + i, " ".join([prose(900 + i, 30), *passage, prose(950 + i, 30)])) for i in range(2)]
+    found = [(r.doc_id, r.source_doc_id, r.start, r.end) for r in chaining.passages(documents(spark, docs)).collect()]
+    assert found == [(101, 100, 30, 74)]
+
+
+def test_passages_of_words_that_repeat_within_a_text(spark):
+    """The second run of one word has its passage too, and a passage whose parts stand alone before it in the source."""
+    docs = [(1, " ".join([prose(1, 40), *["the"] * 60, prose(2, 40)])), (2, " ".join([prose(3, 20), *["the"] * 45, prose(4, 20), *["the"] * 45, prose(5, 20)]))]
+    found = {(r.doc_id, r.source_doc_id, k) for r in chaining.passages(documents(spark, docs)).collect() for k in (20, 85) if r.start >= k and r.end <= k + 45}
+    assert found == {(2, 1, 20), (2, 1, 85)}
+    passage = prose(600, 48).split()
+    alone = [" ".join(passage[k : k + 12]) for k in (36, 24, 12, 0)]
+    docs = [(1, " ".join([*(x for i, a in enumerate(alone) for x in (a, prose(10 + i, 20))), *passage, prose(20, 20)])), (2, " ".join([prose(21, 30), *passage, prose(22, 30)]))]
+    found = [(r.doc_id, r.source_doc_id, r.start, r.end, r.source_start) for r in chaining.passages(documents(spark, docs)).collect()]
+    assert found == [(2, 1, 30, 78, 128)]
+
+
+def test_two_passages_with_other_words_between_them(spark):
+    """One chain leads over both; as a whole it agrees too little."""
+    first, second = prose(30, 50), prose(31, 50)
+    docs = [(i, " ".join([prose(40 + i, 20), first, prose(50 + i, 60), second, prose(60 + i, 20)])) for i in (1, 2)]
+    found = {(r.doc_id, r.source_doc_id, r.start, r.end) for r in chaining.passages(documents(spark, docs)).collect()}
+    assert found == {(2, 1, 20, 70), (2, 1, 130, 180)}
+
+
 def test_passage_in_few_documents_links_all_pairs(spark):
     passage = prose(600, 44)
     docs = [(i, " ".join([prose(700 + i, 25), passage, prose(800 + i, 25)])) for i in range(chaining.FEW)]
