@@ -7,7 +7,8 @@ frames worth keeping; the default keeps everything in one lazy plan.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,18 @@ def written(spark: SparkSession, *only: str) -> Stage:
     return stage
 
 
+@contextmanager
+def _joined_as_dealt(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, a join takes both sides as they are if they are dealt out alike by some of its keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def buckets_for(rows: int, per_bucket: int = 250_000, least: int = 8) -> int:
     """Number of buckets that keeps a bucket, which one task sorts and holds, at ``per_bucket`` rows."""
     return max(least, -(-rows // per_bucket))
@@ -91,12 +104,21 @@ class Bucketed:
         keys = list(self.keys[name])
         table = f"bucketed_{name}_{self._own}"
         path = f"{shared_folder(self.spark)}/bucketed-{self._own}/{name}"
-        # dealt out as the buckets are, so a bucket is one sorted file
-        dealt = df.repartition(self.buckets, *keys)
-        dealt.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+        # a bucket is one sorted file
+        dealt = self.dealt(df, name)
+        with _joined_as_dealt(self.spark):
+            dealt.write.format("parquet").bucketBy(self.buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
         self.tables[name] = table
         return self.spark.table(table)
 
+    def dealt(self, df: DataFrame, name: str) -> DataFrame:
+        """Rows dealt out as the buckets of a frame are.
+
+        Where both sides of a join on the bucket key and more columns are, neither the join nor the
+        writing of its result needs a further exchange.
+        """
+        return df.repartition(self.buckets, *self.keys[name])
+
     def together(self, *names: str) -> bool:
         """Whether these frames are bucketed on the same keys."""
         return all(n in self.keys for n in names) and len({tuple(self.keys[n]) for n in names}) == 1

@@ -4,7 +4,7 @@ Everything that belongs to a load (shipped and planned totals, statistics, costs
 priority) is aggregated from narrow projections and gathered into one frame with a row per load.
 The items are joined with it once, which also cuts them to the first stage of their load; what
 follows is computed from the cut rows, and joined on the load once more.  Frames that several steps
-read are handed to ``stage``: ``items`` (with their trucks), ``costs``, ``freight`` and ``priorities`` (by load), ``loads`` (all
+read are handed to ``stage``: ``items`` (with their trucks), ``costs`` (and for buckets ``freight`` and ``priorities``), ``loads`` (all
 load facts), ``prepared`` (cut items with all load facts) and ``valued`` (items with their impacts).
 """
 
@@ -338,10 +338,14 @@ def by_load(
     stage: Stage = no_stage,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Items with their trucks, costs, freight statistics and priorities, all with a load key."""
+    rows = normalize_items(delivery_items, formulas)
     chain = trucks(order_linkage, truck_report, vehicles, formulas)
+    if isinstance(stage, Bucketed) and stage.keys.get("items") == ["load_id"]:
+        # items and trucks meet in the buckets, so that the wide items are dealt out once
+        rows, chain = stage.dealt(rows, "items"), stage.dealt(chain, "items")
     if one_truck:
         chain = latest_per_key(chain, ["load_id", "order_num"], ["release_dttm"])
-    items = _with_trucks(normalize_items(delivery_items, formulas), chain, formulas, one_truck)
+    items = _with_trucks(rows, chain, formulas, one_truck)
     return (
         stage(items, "items"),
         stage(_costs(load_costs), "costs"),
@@ -425,7 +429,7 @@ def build(
         freight_stats,
         formulas=formulas,
         one_truck=one_truck,
-        stage=stage,
+        stage=stage if isinstance(stage, Bucketed) else _several_read(stage),
     )
     loads = stage(load_facts(items, costs, freight, priorities, formulas), "loads")
     if isinstance(stage, Bucketed) and stage.together("items", "loads"):
@@ -474,6 +478,11 @@ def build(
     return final.withColumn("last_update_utc_tmstp", F.current_timestamp())
 
 
+def _several_read(stage: Stage) -> Stage:
+    """Freight statistics and priorities only feed the load facts, so they are left in the plan."""
+    return lambda df, name: df if name in ("freight", "priorities") else stage(df, name)
+
+
 def _with_trucks(
     items: DataFrame, chain: DataFrame, formulas: Mapping[str, str] | None, one_truck: bool
 ) -> DataFrame:

@@ -9,8 +9,8 @@ from haulgrain.operators.dedupe import latest_n_periods
 from haulgrain.operators.match import fallback_match, lookup
 from haulgrain.operators.rollup import RollupSpec, rollup_beside, rollup_of_repeated, wide_rollup
 from haulgrain.operators.skew import join_totals
-from haulgrain.operators.stage import buckets_for, written
-from haulgrain.plans import fill_load, scorecard, tender
+from haulgrain.operators.stage import Bucketed, _joined_as_dealt, buckets_for, written
+from haulgrain.plans import fill_hub, fill_load, scorecard, tender
 from haulgrain.session import tune
 from haulgrain.sources.versions import publish
 from haulgrain.testbed import queries as q
@@ -193,3 +193,18 @@ def test_rollup_beside_facts_is_the_rollup_joined_with_them(spark):
         got = rollup_beside(df, spec, facts, ["k"], ["s"], how)
         assert got.columns == wanted.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_bucketed_items_are_dealt_out_once_with_all_their_columns(spark, no_broadcast):
+    seen = {}
+
+    class Looking(Bucketed):
+        def __call__(self, df, name):
+            with _joined_as_dealt(spark):
+                seen[name] = dealt_out_with(self.dealt(df, name), "ship_cond_desc")
+            return df
+
+    stage = Looking(spark, {name: ["load_id"] for name in q.BY_LOAD}, 5)
+    fill_hub.by_load(*frames(spark, SF, *q.BY_LOAD_SOURCES), stage=stage)
+    assert seen["items"] == 1
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
