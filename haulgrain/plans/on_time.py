@@ -287,7 +287,7 @@ def _orders(
     spec = RollupSpec(KEYS, attributes=renamed).with_remaining_attributes(
         kept, exclude=[*NOT_IN_RESULT, *helpers]
     )
-    return rollup_beside(kept, spec, stops, ["load_id"], ["ship_to_party_code"])
+    return rollup_beside(kept, spec, stops, ["load_id"], ["ship_to_party_code"], "inner")
 
 
 def _promise_of_orders(orders: DataFrame, largest_order_only: bool, null_safe_keys: bool) -> DataFrame:
